@@ -1,0 +1,8 @@
+"""Streaming.
+
+The weekly job this library rebuilds has no streaming source, watermark, event-time window or
+stateful operator: every input is a bounded table read once per run. Nothing is registered here;
+the batch operators are written as plain DataFrame transformations, so the same functions accept a
+streaming DataFrame wherever Structured Streaming allows the operator (scans, projections,
+filters, dimension joins).
+"""
