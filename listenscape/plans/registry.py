@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenscape.operators import facts, slots
+from listenscape.operators import facts, labels, matrix, names, regroup, scaling, slots
 from listenscape.plans import config as C
+from listenscape.plans import pipeline
 from listenscape.plans.demo import demo_config
+from listenscape.sources import files
 from listenscape.sources import testdata
 from listenscape.sources.tables import Sources
 
@@ -137,6 +139,228 @@ def q_playlist_duration(spark, sf_dir):
     return slots.playlist_duration(s.streams, s.stream_map, s.schedule, s.window)
 
 
+# ---------------------------------------------------------------------------------------------
+# Segment features (all main segments of the demo configuration in one plan)
+
+ROUND = 6
+
+
+def _r(c) -> F.Column:
+    return F.round(F.col(c) if isinstance(c, str) else c, ROUND)
+
+
+def _segs():
+    return demo_config().main_segments()
+
+
+def _nonzero(df: DataFrame) -> DataFrame:
+    return df.select("segment", "gigya_id", "feature", _r("value").alias("value")).where(F.col("value") != 0)
+
+
+def q_category_group(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    cw = facts.category_weighted(s.streams, s.on_demand, s.episode_category, s.window)
+    return regroup.category_group(spark, cw, _segs())
+
+
+def _summed(df: DataFrame) -> DataFrame:
+    return df.groupBy("segment", "gigya_id", "feature").agg(F.sum("value").alias("value"))
+
+
+def q_regroup_features(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    block = regroup.category_block(facts.category_weighted(s.streams, s.on_demand, s.episode_category, s.window))
+    return _summed(regroup.rewrite(block, regroup.category_rules(spark, block, _segs())))
+
+
+def _playlist(s):
+    return slots.playlist_duration(s.streams, s.stream_map, s.schedule, s.window)
+
+
+def q_live_playlist_totals(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return regroup.live_playlist_totals(spark, _playlist(s), _segs())
+
+
+def q_residual_rollup(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    block = regroup.playlist_block(_playlist(s))
+    return _summed(regroup.rewrite(block, regroup.playlist_rules(spark, block, _segs())))
+
+
+def q_new_members(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return regroup.new_members(spark, _playlist(s), _segs())
+
+
+def q_platform_fold(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    block = regroup.platform_block(facts.platform_duration(s.streams, s.window))
+    rules = regroup.platform_rules(spark, block, _segs(), demo_config().default_platform)
+    return _summed(regroup.rewrite(block, rules))
+
+
+def q_newsflash_fold(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    block = regroup.listen_type_block(facts.listen_type_weighted(s.streams, s.on_demand, s.window))
+    return _summed(regroup.rewrite(block, regroup.listen_type_rules(block, _segs())))
+
+
+def q_feature_matrix(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    asm = matrix.assemble(spark, s, demo_config())
+    return _nonzero(matrix.feature_matrix(asm))
+
+
+def q_drop_top_listener(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return matrix.drop_top_listener(facts.total_duration(s.streams, s.consent, s.window))
+
+
+def q_listen_quantiles(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    spine = facts.total_duration(s.streams, s.consent, s.window)
+    q1, q3 = matrix.listen_quantiles(spine)
+    return spark.createDataFrame([(q1, q3, q3 + 1.5 * (q3 - q1))], "q1 double, q3 double, upper double").select(
+        _r("q1").alias("q1"), _r("q3").alias("q3"), _r("upper").alias("upper"))
+
+
+def q_outlier_cut(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return matrix.outlier_cut(facts.total_duration(s.streams, s.consent, s.window))
+
+
+_PREPARED: dict = {}
+
+
+def _prepared(spark, sf_dir) -> pipeline.RunResult:
+    key = (id(spark), sf_dir)
+    if key not in _PREPARED:
+        _PREPARED.clear()
+        _PREPARED[key] = pipeline.prepare(spark, _src(spark, sf_dir), demo_config())
+    return _PREPARED[key]
+
+
+def q_feature_stats(spark, sf_dir):
+    st = _prepared(spark, sf_dir).stats
+    return st.select("segment", "feature", "n", *[_r(c).alias(c) for c in ("min", "max", "sum", "mean", "stddev")])
+
+
+def q_scale_strong(spark, sf_dir):
+    res = _prepared(spark, sf_dir)
+    return _nonzero(scaling.scale_strong(res.cells, res.coefficients))
+
+
+def q_minmax_scale(spark, sf_dir):
+    return _nonzero(_prepared(spark, sf_dir).norm)
+
+
+def q_strong_features(spark, sf_dir):
+    res = _prepared(spark, sf_dir)
+    return scaling.strong_features(res.assembly.catalog, C.weights(spark, res.assembly.segments))
+
+
+def q_signal_gate(spark, sf_dir):
+    return _prepared(spark, sf_dir).gate.select("segment", "feature", _r("total").alias("total"), "action")
+
+
+def q_spike_suppress(spark, sf_dir):
+    res = _prepared(spark, sf_dir)
+    out = scaling.spike_suppress(res.cells, res.stats, C.weights(spark, res.assembly.segments))
+    return _nonzero(out)
+
+
+def q_mean_level(spark, sf_dir):
+    res = _prepared(spark, sf_dir)
+    out = scaling.mean_level(res.cells, res.stats, C.weights(spark, res.assembly.segments))
+    return _nonzero(out)
+
+
+def q_reduced_components(spark, sf_dir):
+    res = pipeline.reduce_segments(spark, _prepared(spark, sf_dir))
+    rows = []
+    for seg, b in res.bases.items():
+        cum = 0.0
+        for j, r in enumerate(b.ratios):
+            cum += r
+            rows.append((seg, j + 1, round(r, ROUND), round(cum, ROUND), bool(b.k and j < b.k)))
+    return spark.createDataFrame(rows, "segment string, component int, ratio double, cumulative double, chosen boolean")
+
+
+def q_segment_matrix(spark, sf_dir):
+    res = pipeline.reduce_segments(spark, _prepared(spark, sf_dir))
+    return res.model_input.select("segment", "gigya_id", "feature", _r("value").alias("value"))
+
+
+# Wide pivots (A10, A11) with value lists from the configuration
+
+
+def _segment_a(block_rules: DataFrame) -> DataFrame:
+    return block_rules.where(F.col("segment") == "A").drop("segment")
+
+
+def q_platform_pivot(spark, sf_dir):
+    cfg = demo_config()
+    seg = cfg.main_segments()[0]
+    cells = _segment_a(q_platform_fold(spark, sf_dir))
+    return matrix.pivot(cells, seg.template["stage_5"], "sum")
+
+
+def q_listen_type_pivot(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    block = regroup.listen_type_block(facts.listen_type_weighted(s.streams, s.on_demand, s.window))
+    return matrix.pivot(block.withColumnRenamed("member", "feature"), ["catchup", "podcast", "newsflash"], "sum")
+
+
+def q_daypart_pivot(spark, sf_dir):
+    seg = demo_config().main_segments()[0]
+    dp = q_daypart_usage(spark, sf_dir).where(F.col("segment") == "A").select(
+        "gigya_id", F.col("key").alias("feature"), F.col("listen_number_time").cast("double").alias("value"))
+    return matrix.pivot(dp, seg.template["stage_6"], "sum")
+
+
+AGE_BANDS = ["15-19", "20-24", "25-34", "35-44", "45-54", "55-59", "60+"]
+
+
+def q_age_pivot(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    block = regroup.flag_block(facts.age_band(s.demographics, s.window), "age_band")
+    return matrix.pivot(block.withColumnRenamed("member", "feature"), AGE_BANDS, "max")
+
+
+def q_gender_pivot(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    block = regroup.flag_block(facts.gender_flag(s.demographics, s.window), "gender")
+    return matrix.pivot(block.withColumnRenamed("member", "feature"), ["f", "m"], "max")
+
+
+def q_drop_junk_columns(spark, sf_dir):
+    """Gender presence pivoted with the unknown value kept, then the junk columns dropped."""
+    s = _src(spark, sf_dir)
+    g = facts.gender_flag(s.demographics, s.window).select(
+        "gigya_id", F.col("gender").alias("feature"), F.col("gender_bool").cast("double").alias("value"))
+    return names.drop_junk_columns(matrix.pivot(g, ["f", "m", "u"], "max"))
+
+
+def q_clean_column_names(spark, sf_dir):
+    """Listen-type pivot named the way a warehouse PIVOT names columns ('value'), then cleaned."""
+    s = _src(spark, sf_dir)
+    block = regroup.listen_type_block(facts.listen_type_weighted(s.streams, s.on_demand, s.window))
+    quoted = block.select("gigya_id", F.concat(F.lit("'"), F.col("member"), F.lit("'")).alias("feature"), "value")
+    wide = matrix.pivot(quoted, ["'catchup'", "'podcast'", "'newsflash'"], "sum")
+    return names.clean_column_names(wide)
+
+
+def q_cluster_label(spark, sf_dir):
+    return labels.cluster_label(testdata.predictions(spark, sf_dir), ["Cluster 1", "Cluster 3"])
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    total = facts.total_duration(s.streams, s.consent, s.window)
+    return files.csv_roundtrip(spark, total, "total_duration")
+
+
 QUERIES: dict[str, Query] = {
     "scan_streams": q_scan_streams,
     "scan_on_demand": q_scan_on_demand,
@@ -157,4 +381,33 @@ QUERIES: dict[str, Query] = {
     "slot_brand": q_slot_brand,
     "show_match": q_show_match,
     "playlist_duration": q_playlist_duration,
+    "category_group": q_category_group,
+    "regroup_features": q_regroup_features,
+    "live_playlist_totals": q_live_playlist_totals,
+    "residual_rollup": q_residual_rollup,
+    "new_members": q_new_members,
+    "platform_fold": q_platform_fold,
+    "newsflash_fold": q_newsflash_fold,
+    "feature_matrix": q_feature_matrix,
+    "drop_top_listener": q_drop_top_listener,
+    "listen_quantiles": q_listen_quantiles,
+    "outlier_cut": q_outlier_cut,
+    "feature_stats": q_feature_stats,
+    "scale_strong": q_scale_strong,
+    "minmax_scale": q_minmax_scale,
+    "strong_features": q_strong_features,
+    "signal_gate": q_signal_gate,
+    "spike_suppress": q_spike_suppress,
+    "mean_level": q_mean_level,
+    "platform_pivot": q_platform_pivot,
+    "listen_type_pivot": q_listen_type_pivot,
+    "daypart_pivot": q_daypart_pivot,
+    "age_pivot": q_age_pivot,
+    "gender_pivot": q_gender_pivot,
+    "drop_junk_columns": q_drop_junk_columns,
+    "clean_column_names": q_clean_column_names,
+    "cluster_label": q_cluster_label,
+    "csv_roundtrip": q_csv_roundtrip,
+    "reduced_components": q_reduced_components,
+    "segment_matrix": q_segment_matrix,
 }
