@@ -51,46 +51,78 @@ def consent_filter(consent: DataFrame) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------------------------------------
+# One pass over the stream log for every per-listener stream aggregate
+
+
+ROLLUP_KEYS = ("gigya_id", "platform", "listener_id", "hour", "weekpart")
+LEVEL_ID = ("gigya_id",)
+LEVEL_PLATFORM = ("gigya_id", "platform")
+LEVEL_LISTENER = ("gigya_id", "listener_id")
+LEVEL_DAYPART = ("gigya_id", "hour", "weekpart")
+
+
+def stream_rollup(streams: DataFrame, window: RunWindow) -> DataFrame:
+    """Seconds and stream counts of the in-window streams (id not NULL) at four grouping levels
+    - id; id x platform; id x listener; id x hour x weekpart - computed from ONE scan of the
+    stream log with GROUPING SETS (one Expand, map-side partial aggregation, one shuffle on the
+    grouping keys). `level` names the grouping set of each row. Every level groups by the id, so
+    the empty-id rows can be filtered after aggregation where a fact needs it."""
+    s = scan_streams(streams, window).where(F.col("gigya_id").isNotNull()).select(
+        "gigya_id", "platform", "listener_id", "duration",
+        F.hour("request_start").alias("hour"),
+        X.weekpart("request_start").alias("weekpart"),
+    )
+    sets = [list(LEVEL_ID), list(LEVEL_PLATFORM), list(LEVEL_LISTENER), list(LEVEL_DAYPART)]
+    g = s.groupingSets(sets, *ROLLUP_KEYS).agg(
+        F.sum("duration").alias("seconds"),
+        F.count(F.lit(1)).alias("n_streams"),
+        F.grouping_id(*ROLLUP_KEYS).alias("gid_bits"),
+    )
+    level = F.lit(None).cast("string")
+    for name, keys in (("id", LEVEL_ID), ("platform", LEVEL_PLATFORM), ("listener", LEVEL_LISTENER),
+                       ("daypart", LEVEL_DAYPART)):
+        bits = sum(1 << (len(ROLLUP_KEYS) - 1 - i) for i, k in enumerate(ROLLUP_KEYS) if k not in keys)
+        level = F.when(F.col("gid_bits") == bits, F.lit(name)).otherwise(level)
+    return g.withColumn("level", level).drop("gid_bits")
+
+
+def _level(rollup: DataFrame, name: str, valid: bool = True) -> DataFrame:
+    r = rollup.where(F.col("level") == name)
+    return r.where(X.non_empty_id("gigya_id")) if valid else r
+
+
 # ---------------------------------------------------------------------------------------------
 # Duration facts
 
 
-def total_duration(streams: DataFrame, consent: DataFrame, window: RunWindow) -> DataFrame:
+def total_duration(streams: DataFrame, consent: DataFrame, window: RunWindow,
+                   rollup: DataFrame | None = None) -> DataFrame:
     """Total listening seconds of each consenting id with streams in the window: the spine.
 
     The consent map is reduced to distinct ids and semi-joined, so a duplicated consent row does
     not multiply a listener's total (the warehouse join did). The semi join runs after the
     partial aggregation of the stream log, so only one row per id crosses the join.
     """
-    per_id = (
-        scan_streams(streams, window)
-        .where(F.col("gigya_id").isNotNull())
-        .groupBy("gigya_id")
-        .agg(F.sum("duration").alias("total_listen_time"))
-    )
+    r = rollup if rollup is not None else stream_rollup(streams, window)
+    per_id = _level(r, "id", valid=False).select("gigya_id", F.col("seconds").alias("total_listen_time"))
     return per_id.join(consented(consent), "gigya_id", "left_semi")
 
 
-def platform_duration(streams: DataFrame, window: RunWindow) -> DataFrame:
+def platform_duration(streams: DataFrame, window: RunWindow, rollup: DataFrame | None = None) -> DataFrame:
     """Seconds listened per id and platform (named PLAYER_COUNT upstream although it is a sum)."""
-    return (
-        valid_streams(streams, window)
-        .groupBy("gigya_id", "platform")
-        .agg(F.sum("duration").alias("player_count"))
-    )
+    r = rollup if rollup is not None else stream_rollup(streams, window)
+    return _level(r, "platform").select("gigya_id", "platform", F.col("seconds").alias("player_count"))
 
 
 # ---------------------------------------------------------------------------------------------
 # On-demand facts
 
 
-def _streams_per_listener(streams: DataFrame, window: RunWindow) -> DataFrame:
+def _streams_per_listener(streams: DataFrame, window: RunWindow, rollup: DataFrame | None = None) -> DataFrame:
     """(gigya_id, listener_id, n_streams): the stream side of the fan-out joins, pre-counted."""
-    return (
-        valid_streams(streams, window)
-        .groupBy("gigya_id", "listener_id")
-        .agg(F.count(F.lit(1)).alias("n_streams"))
-    )
+    r = rollup if rollup is not None else stream_rollup(streams, window)
+    return _level(r, "listener").select("gigya_id", "listener_id", "n_streams")
 
 
 def category_freq(on_demand: DataFrame, episode_category: DataFrame, window: RunWindow) -> DataFrame:
@@ -113,14 +145,14 @@ def category_freq(on_demand: DataFrame, episode_category: DataFrame, window: Run
 
 
 def category_weighted(streams: DataFrame, on_demand: DataFrame, episode_category: DataFrame,
-                      window: RunWindow) -> DataFrame:
+                      window: RunWindow, rollup: DataFrame | None = None) -> DataFrame:
     """Per id and category: sum over the id's streams of its listener's play count.
 
     The warehouse joined every stream row to every category row of its listener; here both sides
     are counted first and the join multiplies counts, which gives the same sums on far fewer rows.
     A listener without plays keeps one row with NULL category and NULL count.
     """
-    per_listener = _streams_per_listener(streams, window)
+    per_listener = _streams_per_listener(streams, window, rollup)
     freq = category_freq(on_demand, episode_category, window)
     joined = per_listener.join(freq, "listener_id", "left")
     return joined.groupBy("gigya_id", "category").agg(
@@ -137,8 +169,9 @@ def listen_type_freq(on_demand: DataFrame, window: RunWindow) -> DataFrame:
     )
 
 
-def listen_type_weighted(streams: DataFrame, on_demand: DataFrame, window: RunWindow) -> DataFrame:
-    per_listener = _streams_per_listener(streams, window)
+def listen_type_weighted(streams: DataFrame, on_demand: DataFrame, window: RunWindow,
+                         rollup: DataFrame | None = None) -> DataFrame:
+    per_listener = _streams_per_listener(streams, window, rollup)
     freq = listen_type_freq(on_demand, window)
     joined = per_listener.join(freq, "listener_id", "left")
     return joined.groupBy("gigya_id", "aod_type").agg(
@@ -172,26 +205,18 @@ def gender_flag(demographics: DataFrame, window: RunWindow) -> DataFrame:
 # Daypart x weekpart, all segments in one pass (A8, D-7)
 
 
-def daypart_usage(streams: DataFrame, hour_dayparts: DataFrame, window: RunWindow) -> DataFrame:
+def daypart_usage(streams: DataFrame, hour_dayparts: DataFrame, window: RunWindow,
+                  rollup: DataFrame | None = None) -> DataFrame:
     """Seconds per (segment, id, DAYPART_WEEKPART), for every segment at once.
 
     ``hour_dayparts`` is the config table `(segment, hour, daypart)` with, for each segment, the
     first daypart in map order that contains the hour (``plans.config.hour_dayparts``); it has at
     most 24 rows per segment and is broadcast. The stream log is first reduced to
-    (id, hour, weekpart) sums, so the expansion by segment multiplies a small aggregate rather
+    (id, hour, weekpart) sums (a level of ``stream_rollup``), so the expansion by segment multiplies a small aggregate rather
     than raw streams. An hour no daypart covers gives a NULL key, as the generated CASE did.
     """
-    base = (
-        valid_streams(streams, window)
-        .select(
-            "gigya_id",
-            "duration",
-            F.hour("request_start").alias("hour"),
-            X.weekpart("request_start").alias("weekpart"),
-        )
-        .groupBy("gigya_id", "hour", "weekpart")
-        .agg(F.sum("duration").alias("seconds"))
-    )
+    r = rollup if rollup is not None else stream_rollup(streams, window)
+    base = _level(r, "daypart").select("gigya_id", "hour", "weekpart", "seconds")
     # Every segment must see every hour, also hours its map leaves uncovered (NULL key), so the
     # expansion is an equi-join on the hour against a table that lists all 24 hours per segment.
     joined = base.join(F.broadcast(hour_dayparts), "hour", "inner")

@@ -10,7 +10,7 @@ configuration.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,13 @@ class Assembly:
     cells_all: DataFrame    # (segment, gigya_id, feature, value) for every listener with facts
     structural: DataFrame   # (segment, feature) columns that exist by configuration
     segments: list[C.SegmentConfig]
+    persisted: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Drop the persisted intermediate aggregates (after the cells are checkpointed)."""
+        for df in self.persisted:
+            df.unpersist()
+        self.persisted = []
 
     @property
     def catalog(self) -> DataFrame:
@@ -39,15 +46,24 @@ class Assembly:
 def assemble(spark: SparkSession, src: Sources, cfg: C.RunConfig) -> Assembly:
     segs = cfg.main_segments()
     w = src.window
-    spine = facts.total_duration(src.streams, src.consent, w)
-
-    cat = regroup.category_block(facts.category_weighted(src.streams, src.on_demand, src.episode_category, w))
-    pl = regroup.playlist_block(slots.playlist_duration(src.streams, src.stream_map, src.schedule, w))
-    lt = regroup.listen_type_block(facts.listen_type_weighted(src.streams, src.on_demand, w))
-    pf = regroup.platform_block(facts.platform_duration(src.streams, w))
+    # The stream log is read twice in the whole plan: once for all per-listener aggregates (one
+    # GROUPING SETS pass shared by the spine, platform, fan-out and daypart facts) and once for the
+    # ten-minute slots, which need every stream row.
+    # Each per-listener aggregate is read by several consumers (the block itself and its rule
+    # vocabulary; the rollup by five facts) whose pushed-down filters differ, so exchange reuse
+    # cannot share them: they are persisted. All are aggregates per listener (x key), orders of
+    # magnitude smaller than the logs; a lost executor recomputes its partitions from lineage.
+    roll = facts.stream_rollup(src.streams, w).persist()
+    spine = facts.total_duration(src.streams, src.consent, w, roll)
+
+    cat = regroup.category_block(
+        facts.category_weighted(src.streams, src.on_demand, src.episode_category, w, roll)).persist()
+    pl = regroup.playlist_block(slots.playlist_duration(src.streams, src.stream_map, src.schedule, w)).persist()
+    lt = regroup.listen_type_block(facts.listen_type_weighted(src.streams, src.on_demand, w, roll)).persist()
+    pf = regroup.platform_block(facts.platform_duration(src.streams, w, roll)).persist()
     age = regroup.flag_block(facts.age_band(src.demographics, w), "age_band")
     gen = regroup.flag_block(facts.gender_flag(src.demographics, w), "gender")
-    dp = facts.daypart_usage(src.streams, C.hour_dayparts(spark, segs), w).where(F.col("key").isNotNull()).select(
+    dp = facts.daypart_usage(src.streams, C.hour_dayparts(spark, segs), w, roll).where(F.col("key").isNotNull()).select(
         "segment", "gigya_id", F.col("key").alias("feature"), F.col("listen_number_time").cast("double").alias("value")
     )
 
@@ -65,7 +81,7 @@ def assemble(spark: SparkSession, src: Sources, cfg: C.RunConfig) -> Assembly:
         union = union.unionByName(b)
     cells_all = union.groupBy("segment", "gigya_id", "feature").agg(F.sum("value").alias("value"))
     return Assembly(spine=spine, cells_all=cells_all, structural=regroup.structural_catalog(spark, segs),
-                    segments=segs)
+                    segments=segs, persisted=[roll, cat, pl, lt, pf])
 
 
 def feature_matrix(asm: Assembly, ids: DataFrame | None = None) -> DataFrame:

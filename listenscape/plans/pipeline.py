@@ -48,6 +48,7 @@ def prepare(spark: SparkSession, src: Sources, cfg: C.RunConfig, checkpoint: boo
         ensure_checkpoint_dir(spark)
         asm.cells_all = asm.cells_all.checkpoint()
         asm.spine = asm.spine.checkpoint()
+        asm.release()
     catalog = asm.catalog.cache()
     kept = matrix.outlier_cut(asm.spine).cache()
     n_kept = kept.count()
@@ -79,7 +80,8 @@ def reduce_segments(spark: SparkSession, res: RunResult) -> RunResult:
     col_rows = [(seg, ns, [float(zeros.get((seg, f), 0.0)) for f in ns]) for seg, ns in names.items()]
     columns = spark.createDataFrame(col_rows, "segment string, names array<string>, zeros array<double>")
     weak_cells = res.norm.join(res.split.where(~F.col("strong")), ["segment", "feature"], "left_semi")
-    rows = reduce.dense_rows(spark, res.kept, weak_cells, columns, list(names))
+    # read twice (Gram pass and projection): persisted; n_kept x d doubles
+    rows = reduce.dense_rows(spark, res.kept, weak_cells, columns, list(names)).persist()
     bases = reduce.fit_bases(rows, names)
     pcs = reduce.project(spark, rows, bases)
     reduced = pcs.select("segment", "gigya_id", F.concat(F.lit("PC"), F.col("component").cast("string")).alias("feature"),
