@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenscape.operators import facts, labels, matrix, names, regroup, scaling, slots
+from listenscape.operators import channels, facts, labels, matrix, names, regroup, scaling, slots
 from listenscape.plans import config as C
 from listenscape.plans import pipeline
 from listenscape.plans.demo import demo_config
@@ -361,6 +361,16 @@ def q_csv_roundtrip(spark, sf_dir):
     return files.csv_roundtrip(spark, total, "total_duration")
 
 
+def q_channel_duration(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return channels.channel_duration(s.streams, s.stream_map, s.window)
+
+
+def q_channel_playlist(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return channels.channel_playlist(spark, regroup.playlist_block(_playlist(s)), _segs())
+
+
 QUERIES: dict[str, Query] = {
     "scan_streams": q_scan_streams,
     "scan_on_demand": q_scan_on_demand,
@@ -410,4 +420,6 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "reduced_components": q_reduced_components,
     "segment_matrix": q_segment_matrix,
+    "channel_duration": q_channel_duration,
+    "channel_playlist": q_channel_playlist,
 }
