@@ -87,11 +87,37 @@ def stream_rollup(streams: DataFrame, window: RunWindow) -> DataFrame:
     return g.withColumn("level", level).drop("gid_bits")
 
 
+LEVELS = {"id": LEVEL_ID, "platform": LEVEL_PLATFORM, "listener": LEVEL_LISTENER, "daypart": LEVEL_DAYPART}
+
+
 def _level(rollup: DataFrame, name: str, valid: bool = True) -> DataFrame:
     r = rollup.where(F.col("level") == name)
     return r.where(X.non_empty_id("gigya_id")) if valid else r
 
 
+def _single_level(streams: DataFrame, window: RunWindow, name: str, valid: bool = True) -> DataFrame:
+    """The same rows as one level of ``stream_rollup``, aggregated on their own: used when a fact
+    is computed alone, so it does not pay for the other grouping sets."""
+    s = scan_streams(streams, window).where(F.col("gigya_id").isNotNull())
+    if valid:
+        s = s.where(X.non_empty_id("gigya_id"))
+    s = s.select(
+        "gigya_id", "platform", "listener_id", "duration",
+        F.hour("request_start").alias("hour"),
+        X.weekpart("request_start").alias("weekpart"),
+    )
+    return s.groupBy(*LEVELS[name]).agg(
+        F.sum("duration").alias("seconds"), F.count(F.lit(1)).alias("n_streams")
+    )
+
+
+def _stream_level(streams: DataFrame, window: RunWindow, rollup: DataFrame | None, name: str,
+                  valid: bool = True) -> DataFrame:
+    if rollup is None:
+        return _single_level(streams, window, name, valid)
+    return _level(rollup, name, valid)
+
+
 # ---------------------------------------------------------------------------------------------
 # Duration facts
 
@@ -104,15 +130,13 @@ def total_duration(streams: DataFrame, consent: DataFrame, window: RunWindow,
     not multiply a listener's total (the warehouse join did). The semi join runs after the
     partial aggregation of the stream log, so only one row per id crosses the join.
     """
-    r = rollup if rollup is not None else stream_rollup(streams, window)
-    per_id = _level(r, "id", valid=False).select("gigya_id", F.col("seconds").alias("total_listen_time"))
+    per_id = _stream_level(streams, window, rollup, "id", valid=False).select("gigya_id", F.col("seconds").alias("total_listen_time"))
     return per_id.join(consented(consent), "gigya_id", "left_semi")
 
 
 def platform_duration(streams: DataFrame, window: RunWindow, rollup: DataFrame | None = None) -> DataFrame:
     """Seconds listened per id and platform (named PLAYER_COUNT upstream although it is a sum)."""
-    r = rollup if rollup is not None else stream_rollup(streams, window)
-    return _level(r, "platform").select("gigya_id", "platform", F.col("seconds").alias("player_count"))
+    return _stream_level(streams, window, rollup, "platform").select("gigya_id", "platform", F.col("seconds").alias("player_count"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -121,8 +145,7 @@ def platform_duration(streams: DataFrame, window: RunWindow, rollup: DataFrame |
 
 def _streams_per_listener(streams: DataFrame, window: RunWindow, rollup: DataFrame | None = None) -> DataFrame:
     """(gigya_id, listener_id, n_streams): the stream side of the fan-out joins, pre-counted."""
-    r = rollup if rollup is not None else stream_rollup(streams, window)
-    return _level(r, "listener").select("gigya_id", "listener_id", "n_streams")
+    return _stream_level(streams, window, rollup, "listener").select("gigya_id", "listener_id", "n_streams")
 
 
 def category_freq(on_demand: DataFrame, episode_category: DataFrame, window: RunWindow) -> DataFrame:
@@ -215,8 +238,7 @@ def daypart_usage(streams: DataFrame, hour_dayparts: DataFrame, window: RunWindo
     (id, hour, weekpart) sums (a level of ``stream_rollup``), so the expansion by segment multiplies a small aggregate rather
     than raw streams. An hour no daypart covers gives a NULL key, as the generated CASE did.
     """
-    r = rollup if rollup is not None else stream_rollup(streams, window)
-    base = _level(r, "daypart").select("gigya_id", "hour", "weekpart", "seconds")
+    base = _stream_level(streams, window, rollup, "daypart").select("gigya_id", "hour", "weekpart", "seconds")
     # Every segment must see every hour, also hours its map leaves uncovered (NULL key), so the
     # expansion is an equi-join on the hour against a table that lists all 24 hours per segment.
     joined = base.join(F.broadcast(hour_dayparts), "hour", "inner")
