@@ -23,56 +23,68 @@ from pyspark.sql import functions as F
 
 from .common import input_bytes, scratch_path, worker_cache
 
-#: Words kept per Python worker; beyond it the table of encoded words is emptied and rebuilt.
-CACHE_WORDS = 400_000
+#: Words kept per Python worker; beyond it only words met more than once are kept. Texts are lower-cased
+#: by the vocabulary's own normaliser, so ASCII texts may be lower-cased before the look-up.
+CACHE_WORDS = 800_000
 
 
 class WordIds:
-    """Ids of whole texts, with each distinct word encoded once."""
+    """Ids of whole texts as little-endian bytes, with each distinct word encoded once."""
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.clear()
-
-    def clear(self):
-        self.index: dict[str, int] = {"": 0}
-        self.lengths = np.zeros(1, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        self.codes: dict[str, bytes] = {"": b""}
+        self.often: dict[str, bytes] = {"": b""}
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.index]
-        if not new:
-            return
-        codes = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-        at = len(self.lengths)
-        self.index.update(zip(new, range(at, at + len(new))))
-        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, codes), np.int64, len(codes))])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for c in codes for i in c), np.uint32)])
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
-
-    def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each ended by end_id; number of ids per text)."""
-        if len(self.index) > CACHE_WORDS:
-            self.clear()
-        pieces, counts = [], np.zeros(len(texts), np.int64)
-        for i, t in enumerate(texts):
-            words = t.replace("\n", " ").split(" ") if t else []
-            counts[i] = len(words)
-            pieces += words
-        self.learn(set(pieces))
-        word = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
-        size = self.lengths[word]
-        n_ids = np.add.reduceat(np.append(size, 0), np.minimum(np.cumsum(counts) - counts, len(size))) if len(texts) else size
-        n_ids = np.where(counts > 0, n_ids, 0)
-        out = np.full(int(size.sum()) + len(texts), end_id, np.uint32)
-        # Position of each word's first id in the output: ids before it, plus one end id per earlier text.
-        to = np.cumsum(size) - size + np.repeat(np.arange(len(texts)), counts)
-        if len(word) and size.any():
-            step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-            out[np.repeat(to, size) + step] = self.flat[np.repeat(self.starts[word], size) + step]
-        return out, n_ids + 1
+        if len(self.codes) > CACHE_WORDS:
+            # Words that were met again stay; those met once make room.
+            self.codes, self.often = self.often, {"": b""}
+        # A word of letters is one pre-token, and so is a stop or comma behind it.
+        plain = {w: (w[:-1], w[-1]) if w[-1] in ".," else (w, "") for w in words if w.isalpha() or (w[-1] in ".," and w[:-1].isalpha())}
+        bases = list({b for b, _ in plain.values()} - self.codes.keys())
+        for i in range(0, len(bases), 256):
+            self.codes.update(self.encode_letters(bases[i:i + 256]))
+        rest = [w for w in words if w not in plain]
+        self.codes.update(self.encode_each([*rest, ".", ","]))
+        self.codes.update([(w, self.codes[b] + self.codes[stop]) for w, (b, stop) in plain.items()])
+
+    def encode_each(self, words: list[str]) -> list[tuple[str, bytes]]:
+        return [(w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False))]
+
+    def encode_letters(self, words: list[str]) -> list[tuple[str, bytes]]:
+        """Words of letters in one call, cut behind the ids that end a word."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words):  # a letter whose lower-case form is more than letters
+            return self.encode_each(words)
+        data, cuts = ids.tobytes(), (4 * cuts).tolist()
+        return [(w, data[a:b]) for w, a, b in zip(words, [0, *cuts], cuts)]
+
+    def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
+        """The ids of each text, ended by end_id."""
+        end = int(end_id).to_bytes(4, "little")
+        known, rows, missing = self.codes.get, [], set()
+        for t in texts:
+            words = (t.lower() if t.isascii() else t).replace("\n", " ").split(" ") if t else []
+            codes = list(map(known, words))
+            lacking = None in codes
+            if lacking:
+                missing.update(w for w, c in zip(words, codes) if c is None)
+            rows.append((words, codes, lacking))
+        if missing:
+            if len(self.codes) > CACHE_WORDS // 2:
+                met = set().union(*(r[0] for r in rows)) - missing
+                self.often.update((w, self.codes[w]) for w in met if w in self.codes)
+            found = self.codes
+            self.learn(missing)
+            known = self.codes.get if self.codes is found else (lambda w: self.codes.get(w) or found.get(w, b""))
+        return [b"".join(map(known, words) if lacking else codes) + end for words, codes, lacking in rows]
 
 
 def encoder(tokenizer_path: str, end_id: int):
@@ -82,10 +94,9 @@ def encoder(tokenizer_path: str, end_id: int):
         if key not in cache:
             cache[key] = WordIds(tokenizer_path)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            ids, n = cache[key].encode(texts, end_id)
-            offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
+            rows = cache[key].encode(batch.column("text").to_pylist(), end_id)
+            offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), "<i4")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
 
     return run
