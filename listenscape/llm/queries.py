@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, decontaminate, token_orc
+from . import common, decontaminate, langid, token_orc
 
 
 def _with_options(fn):
@@ -13,7 +13,8 @@ def _with_options(fn):
     return run
 
 
-QUERIES = {f.__name__: _with_options(f) for f in (token_orc.op7_token_orc, decontaminate.op8_decontaminate)}
+QUERIES = {f.__name__: _with_options(f) for f in (
+    langid.op2_language_id, token_orc.op7_token_orc, decontaminate.op8_decontaminate)}
 
 #: None of these operators can be expressed in DuckDB SQL within reach of the whole tables; each is
 #: tested against brute force in tests/llm.
