@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 import uuid
@@ -53,9 +54,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    free_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of plans that nothing refers to any more; without a
+    collection on the driver they stay on the executors' disks for up to half an hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_stage(df: DataFrame) -> None:
     """Delete the files behind a staged table that nothing will read again."""
     spark = df.sparkSession

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, decontaminate, langid, quality, token_orc, toxicity
+from . import common, decontaminate, langid, line_dedup, quality, token_orc, toxicity
 
 
 def _with_options(fn):
@@ -14,7 +14,7 @@ def _with_options(fn):
 
 
 QUERIES = {f.__name__: _with_options(f) for f in (
-    langid.op2_language_id, toxicity.op6_toxicity, token_orc.op7_token_orc, decontaminate.op8_decontaminate, quality.op9_quality)}
+    langid.op2_language_id, line_dedup.op5_line_dedup, toxicity.op6_toxicity, token_orc.op7_token_orc, decontaminate.op8_decontaminate, quality.op9_quality)}
 
 #: None of these operators can be expressed in DuckDB SQL within reach of the whole tables; each is
 #: tested against brute force in tests/llm.
