@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import common, cover_tree, decontaminate, langid, line_dedup, minhash, quality, suffix_dedup, token_orc, toxicity
+from . import common, cover_tree, decontaminate, langid, line_dedup, minhash, quality, sample_pieces, suffix_dedup, token_orc, toxicity
 
 
 def _with_options(fn):
@@ -14,7 +14,9 @@ def _with_options(fn):
 
 
 QUERIES = {f.__name__: _with_options(f) for f in (
-    suffix_dedup.op1_suffix_dedup, langid.op2_language_id, minhash.op3_minhash, line_dedup.op5_line_dedup, toxicity.op6_toxicity, token_orc.op7_token_orc, decontaminate.op8_decontaminate, quality.op9_quality,
+    suffix_dedup.op1_suffix_dedup, langid.op2_language_id, minhash.op3_minhash,
+    sample_pieces.op4_sample_pieces, line_dedup.op5_line_dedup, toxicity.op6_toxicity, token_orc.op7_token_orc,
+    decontaminate.op8_decontaminate, quality.op9_quality,
     cover_tree.op10_cover_tree)}
 
 #: None of these operators can be expressed in DuckDB SQL within reach of the whole tables; each is
