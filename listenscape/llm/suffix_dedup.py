@@ -30,10 +30,11 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shard_count, stage, table
+from .common import drop_stage, shard_count, stage, table
 
 GRAM = 32
 CHUNK = 1 << 20
@@ -192,7 +193,7 @@ def send_runs(length: int, buckets: int):
                 x = np.flatnonzero(fresh)[x]
                 place = _places(shard, first[x], size[x])
                 place |= {"doc": shard.ids[place["row"]], "shard": number, "key": key[x], "periodic": periodic[x],
-                          "text": b"".join(raw[a:a + n + length - 1] for a, n in zip(first[x].tolist(), size[x].tolist()))}
+                          "text": zstandard.compress(b"".join(raw[a:a + n + length - 1] for a, n in zip(first[x].tolist(), size[x].tolist())), 1)}
                 kinds.append(0)
                 targets.append(bucket)
                 payloads.append(pickle.dumps(place, protocol=5))
@@ -318,6 +319,7 @@ def find_repeats(length: int, piece_bytes: int):
         shard = np.repeat([s["shard"] for s in sent], [len(s["n"]) for s in sent])
         texts = []
         for s in sent:
+            s["text"] = zstandard.decompress(s["text"])
             cuts = np.concatenate([[0], np.cumsum(s["n"] + length - 1)]).tolist()
             texts += [s["text"][a:b] for a, b in zip(cuts, cuts[1:])]
         found: dict[int, list] = {}
@@ -385,7 +387,8 @@ def dedup(docs: DataFrame, length: int = 100, shard_bytes: int = 5 << 20, piece_
     sent = stage(sharded.groupBy("shard").cogroup(wanted.groupBy("shard")).applyInArrow(
         send_runs(length, shards), "kind int, target long, payload binary"), "suffix-runs")
     found = sent.where("kind = 0").groupBy("target").applyInArrow(find_repeats(length, piece_bytes), "target long, payload binary")
-    repeats = found.unionAll(sent.where("kind = 1").select("target", "payload")).withColumnRenamed("target", "shard")
+    repeats = stage(found.unionAll(sent.where("kind = 1").select("target", "payload")).withColumnRenamed("target", "shard"), "suffix-repeats")
+    drop_stage(sent)
     return sharded.groupBy("shard").cogroup(repeats.groupBy("shard")).applyInArrow(
         remove(length, texts), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else ""))
 
