@@ -43,15 +43,16 @@ def _place(docs: DataFrame) -> tuple[Column, Column, Column]:
             (F.col("ord") - whole * unit).cast("int"))
 
 
-def _tokens(width: int) -> Column:
-    """Hashes of the shingles of the array ``words``."""
-    n = F.size("words")
-    return F.when(n < width, F.array(F.xxhash64("words"))).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(n - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, width))))
+def _let(value: Column, use) -> Column:
+    """use(value), with the value computed once: the optimiser copies a projected column into every place
+    that names it, but not the variable of a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _words(line: str = "line") -> Column:
-    return F.array_remove(F.split(line, " "), "")
+def _tokens(width: int, line: str = "line") -> Column:
+    """Hashes of the shingles of a line."""
+    return _let(F.array_remove(F.split(line, " "), ""), lambda w: F.when(F.size(w) < width, F.array(F.xxhash64(w))).otherwise(
+        F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, width)))))
 
 
 def classes_of(docs: DataFrame, place: Column) -> DataFrame:
@@ -74,20 +75,18 @@ def _ranks(tokens: DataFrame) -> Column:
 
 def matches(classes: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(b): the ``ord`` of every class that has an earlier matching class. ``classes`` should be staged."""
-    words = classes.select("ord", _words().alias("words"))
-    token_rows = words.select("ord", _tokens(width).alias("tokens"))
-    rank = _ranks(token_rows)
+    rank = _ranks(classes.select(_tokens(width).alias("tokens")))
     # Rarity class above 55 bits of hash: sorting the numbers sorts by rarity.
-    key = F.transform("tokens", lambda t: F.shiftleft(rank[F.pmod(t, F.lit(BINS)).cast("int")].cast("long"), 55).bitwiseOR(F.shiftrightunsigned(t, 9)))
-    n = F.size("set")
-    prefix = n - F.ceil(n * percent / F.lit(100)).cast("int") + 1
-    sets = token_rows.select("ord", F.array_sort(F.array_distinct(key)).alias("set"))
-    posts = sets.select("ord", n.alias("n"), F.posexplode(F.slice("set", F.lit(1), prefix)).alias("i", "token"))
+    key = F.transform(_tokens(width), lambda t: F.shiftleft(rank[F.pmod(t, F.lit(BINS)).cast("int")].cast("long"), 55).bitwiseOR(F.shiftrightunsigned(t, 9)))
+    prefix = _let(F.array_sort(F.array_distinct(key)), lambda s: F.transform(
+        F.slice(s, F.lit(1), F.size(s) - F.ceil(F.size(s) * percent / F.lit(100)).cast("int") + 1),
+        lambda t: F.struct(t.alias("token"), F.size(s).alias("n"))))
+    posts = classes.select("ord", F.posexplode(prefix).alias("i", "post")).select("post.token", "ord", "post.n", "i")
     first = posts.groupBy("token").agg(F.min("ord").alias("a"), F.count("*").alias("posters")).where("posters > 1")
     shared = stage(posts.join(first.hint("shuffle_hash"), "token").select("token", "ord", "n", "i", "a", "posters"), "line-posts")
 
     wanted = shared.select("ord").distinct()
-    known = stage(classes.join(wanted, "ord", "left_semi").select("ord", F.array_distinct(_tokens_of_line(width)).alias("set")), "line-sets")
+    known = stage(classes.join(wanted, "ord", "left_semi").select("ord", F.array_distinct(_tokens(width)).alias("set")), "line-sets")
     star = shared.where("ord <> a").select("a", F.col("ord").alias("b")).distinct()
     found = stage(_verified(star, known, percent), "line-matches")
 
@@ -103,13 +102,6 @@ def matches(classes: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     return found.unionAll(_verified(pairs, known, percent)).distinct()
 
 
-def _tokens_of_line(width: int) -> Column:
-    w = _words()
-    n = F.size(w)
-    return F.when(n < width, F.array(F.xxhash64(w))).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(n - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, width))))
-
-
 def _verified(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     a = known.select(F.col("ord").alias("a"), F.col("set").alias("set_a"))
     b = known.select(F.col("ord").alias("b"), F.col("set").alias("set_b"))
