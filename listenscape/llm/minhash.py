@@ -10,11 +10,12 @@ similarity of their sets is at least ``percent`` / 100; components are the group
 3. Candidates are screened by the collision-corrected estimate from bit counts of the packed signatures,
    with a margin of five standard deviations below the threshold, and confirmed on the full sets.
 4. Buckets are worked off as stars, so a group of g near copies costs g pairs a round and not g^2: in each
-   round a bucket's members are compared with one pivot. Buckets whose members are by then in one component
+   round a bucket's members are compared with one pivot,
+   at first the member with most company over all buckets. Buckets whose members are by then in one component
    need no more pairs. After ``star_rounds`` rounds, members of still different components are compared
    pair by pair, so that no link between components is lost.
 
-A pair at the threshold of 0.8 shares no band with probability (1 - 0.8^5)^32 = 3e-6.
+A pair at the threshold of 0.8 shares no band with probability (1 - 0.8^7)^48 = 1e-5, one at 0.85 with 1e-8.
 
 Cases: null and empty texts, and texts of white space only, have an empty set, link with nothing and are kept.
 Equal texts link. Rows sharing a doc_id keep a row each; for links, a doc_id stands for all its rows.
@@ -30,9 +31,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_COLUMNS, components, drop_stage, stage, table, worker_cache
+from .common import DOCUMENT_COLUMNS, components, stage, table, worker_cache
 
-BANDS, ROWS = 32, 5
+BANDS, ROWS = 48, 7
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -158,11 +159,14 @@ def _setter(width: int):
 
 
 class _Confirm:
-    """Screens and confirms candidate pairs; a document's full set is made once, when it is first needed."""
+    """Screens and confirms candidate pairs. The full sets of all documents that share a bucket are made once."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, width: int, percent: int):
-        self.docs, self.classes, self.width, self.percent, self.sets = docs, classes, width, percent, None
+    def __init__(self, docs: DataFrame, classes: DataFrame, shared: DataFrame, width: int, percent: int):
+        self.classes, self.percent = classes, percent
         self.kind = docs.schema["doc_id"].dataType.simpleString()
+        needed = shared.select(F.col("rep").alias("doc_id")).distinct()
+        text = docs.select("doc_id", "text").join(needed.hint("merge"), "doc_id", "left_semi")
+        self.sets = stage(text.mapInArrow(_setter(width), f"doc_id {self.kind}, set array<long>"), "minhash-sets")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         t = self.percent / 100
@@ -171,16 +175,11 @@ class _Confirm:
         both = (pairs.distinct().join(signs.select(F.col("rep").alias("a"), F.col("sign").alias("sign_a")), "a")
                 .join(signs.select(F.col("rep").alias("b"), F.col("sign").alias("sign_b")), "b"))
         likely = stage(both.mapInArrow(_screen(least), f"a {self.kind}, b {self.kind}"), "minhash-pairs")
-        needed = likely.select(F.col("a").alias("doc_id")).unionAll(likely.select("b")).distinct()
-        text = self.docs.select("doc_id", "text").join(needed, "doc_id", "left_semi")
-        sets = stage(text.mapInArrow(_setter(self.width), f"doc_id {self.kind}, set array<long>"), "minhash-sets")
-        a = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a"))
-        b = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b"))
+        a = self.sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a"))
+        b = self.sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b"))
         shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
         either = F.size("set_a") + F.size("set_b") - shared
-        out = stage(likely.join(a, "a").join(b, "b").where(100 * shared >= self.percent * either).select("a", "b").distinct(), "minhash-links")
-        drop_stage(sets)
-        return out
+        return stage(likely.join(a, "a").join(b, "b").where(100 * shared >= self.percent * either).select("a", "b").distinct(), "minhash-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, star_rounds: int = 3) -> DataFrame:
@@ -190,11 +189,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, star_rou
         _signer(width), f"doc_id {kind}, n_shingles long, d1 long, d2 long, sign binary"), "minhash-rows")
     classes = stage(rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("sign").alias("sign")), "minhash-classes")
     posts = classes.select("rep", "sign").mapInArrow(_bands, f"key long, rep {kind}")
-    buckets = posts.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    shared = stage(posts.join(buckets.hint("shuffle_hash"), "key").select("key", "rep", "pivot"), "minhash-buckets")
-
-    confirm = _Confirm(docs, classes, width, percent)
-    links = confirm.links(shared.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
+    sizes = posts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stage(posts.join(sizes.hint("shuffle_hash"), "key"), "minhash-buckets")
+    # A bucket's first pivot is its member with most company over all buckets: the text that others were copied from.
+    company = shared.groupBy("rep").agg(F.sum("n").alias("company"))
+    centre = shared.join(company, "rep").groupBy("key").agg(F.max_by("rep", F.struct("company", -F.col("rep"))).alias("pivot"))
+    shared = stage(shared.join(centre, "key").select("key", "rep", "pivot"), "minhash-buckets")
+
+    confirm = _Confirm(docs, classes, shared, width, percent)
+    links = confirm.links(shared.where("rep <> pivot").select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")))
     groups = stage(components(links), "minhash-groups")
     for turn in range(1, star_rounds + 1):
         # Buckets whose members are in one component are done.
