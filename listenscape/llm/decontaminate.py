@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stage, table, worker_cache
+from .common import DOCUMENT_COLUMNS, stage, table, worker_cache
 
 _FOLD = bytes(
     (b + 32 if 65 <= b <= 90 else b) if (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128) else 32
@@ -175,6 +175,6 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with no benchmark window in them."""
-    cols = docs.columns
+    cols = DOCUMENT_COLUMNS
     found = hits(docs, table(spark, sf_dir, "benchmark"), window=10, spans=False, keep=cols)
     return found.where("n_hit = 0").select(*cols)

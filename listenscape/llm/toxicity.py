@@ -110,7 +110,9 @@ def observed(text: str) -> tuple[set[str], set[str]]:
         if w:
             (hidden if disguised(w) else plain).add(w)
     if any(len(w) == 1 for w in tokens):
-        for w in [*tokens, "  "]:
+        for w in [*tokens, "   "]:
+            if len(w) == 2:
+                w = _EDGE.sub("", w)  # a letter with a stop behind it
             if len(w) == 1 and _SIGNS_OR_LETTERS.match(w):
                 run.append(w)
             else:
