@@ -10,7 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SLOT_SECONDS = 600
-MAX_SLOTS = 500
 
 # Fixed values of the station-name rules (order matters, first match wins).
 FIXED_BRAND_LIVE_SUFFIX_PARTS = ["00s", "90s", "70s", "80s", "Country", "Dance", "Chill", ""]

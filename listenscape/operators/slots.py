@@ -19,18 +19,15 @@ BUCKET_SECONDS = 3600
 def listening_slots(streams: DataFrame, window: RunWindow) -> DataFrame:
     """One row per (stream, n) slot of at most 600 s.
 
-    For n in 0..499 with 600*n < duration + 600 and start + 600*n < actual end, the slot runs from
+    For n = 0, 1, .. with 600*n < duration + 600 and start + 600*n < actual end, the slot runs from
     start + 600*n to the earlier of start + 600*(n+1) and the actual end; its seconds are the
     whole-second clock difference (wrapping at midnight). Only a NULL id is excluded here (an
     empty id survives, as in the playlist branch upstream). The number generator is an
     ``explode(sequence(..))`` inside the stream's own row, so no join with a numbers table or
-    self-join on the stream id is needed; the slot count per stream is capped at 500.
+    self-join on the stream id is needed; the row's own duration bounds it.
     """
     s = scan_streams(streams, window).where(F.col("gigya_id").isNotNull())
-    last = F.least(
-        F.lit(X.MAX_SLOTS - 1).cast("bigint"),
-        F.floor((F.col("duration") + (X.SLOT_SECONDS - 1)) / X.SLOT_SECONDS).cast("bigint"),
-    )
+    last = F.floor((F.col("duration") + (X.SLOT_SECONDS - 1)) / X.SLOT_SECONDS).cast("bigint")
     # A negative bound (duration below -599 s) means no slot; NULL arrays explode to no rows.
     numbers = F.when(last >= 0, F.sequence(F.lit(0).cast("bigint"), last))
     exploded = s.select(

@@ -11,22 +11,20 @@ from __future__ import annotations
 from listenscape.plans.config import RunConfig, SegmentConfig
 from listenscape.sources.window import TEST_RUN_DATE
 
+# Test dayparts of uneven length: A leaves hour 13 out, B puts hours 20 and 21 in two dayparts.
 DAYPARTS_A = {
-    "EARLY_MORNING": (5, 7),
-    "MORNING": (8, 11),
-    "AFTERNOON": (12, 15),
-    "PM_DRIVE": (16, 18),
-    "NIGHT": (19, 23),
-    "LATE_NIGHT": (0, 4),
+    "DAWN": (4, 6),
+    "FORENOON": (7, 12),
+    "TEATIME": (14, 17),
+    "DUSK": (18, 22),
+    "NIGHT": (23, 23),
+    "SMALL_HOURS": (0, 3),
 }
 DAYPARTS_B = {
-    "EARLY_MORNING": (5, 7),
-    "MORNING": (8, 11),
-    "AFTERNOON": (12, 15),
-    "PM_DRIVE": (16, 18),
-    "EVENING": (19, 21),
-    "NIGHT": (21, 23),
-    "LATE_NIGHT": (0, 4),
+    "SMALL_HOURS": (0, 5),
+    "DAY": (6, 16),
+    "DUSK": (17, 21),
+    "NIGHT": (20, 23),
 }
 CATEGORY_GROUPS = ["ECON_PROMO_Group", "SMALL_MED_Group", "LARGE_Brand#1_Group"]
 PLAYLIST_MAP = {

@@ -102,6 +102,11 @@ def run(spark: SparkSession, src: Sources, cfg: C.RunConfig, checkpoint: bool =
     return reduce_segments(spark, prepare(spark, src, cfg, checkpoint))
 
 
+def _write(df: DataFrame, path: str, *parts: str) -> None:
+    """Replace only the partitions that ``df`` holds, so a run keeps the weeks before it and may be repeated."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+
+
 def write_outputs(res: RunResult, base_path: str, run_date: str, version: str) -> None:
     """Model input and analytics matrices partitioned by segment and run date; the gate status
     and the kept spine alongside. Failures raise (they are not turned into a status string)."""
@@ -112,10 +117,9 @@ def write_outputs(res: RunResult, base_path: str, run_date: str, version: str) -
             df = df.withColumn(k, F.lit(v))
         return df
 
-    stamp(res.model_input).write.mode("overwrite").partitionBy("segment", "run_date").parquet(
-        f"{base_path}/model_input")
-    stamp(res.norm).write.mode("overwrite").partitionBy("segment", "run_date").parquet(f"{base_path}/analytics")
-    stamp(res.gate).write.mode("overwrite").partitionBy("run_date").parquet(f"{base_path}/segment_status")
+    _write(stamp(res.model_input), f"{base_path}/model_input", "segment", "run_date", "version")
+    _write(stamp(res.norm), f"{base_path}/analytics", "segment", "run_date", "version")
+    _write(stamp(res.gate), f"{base_path}/segment_status", "run_date", "version")
 
 
 def write_master_facts(spark: SparkSession, src: Sources, base_path: str, run_date: str, version: str,
@@ -142,4 +146,4 @@ def write_master_facts(spark: SparkSession, src: Sources, base_path: str, run_da
         df = df.select("gigya_id", F.col(df.columns[1]).alias("key"), "value").withColumn("fact", F.lit(name))
         out = df if out is None else out.unionByName(df)
     out = out.withColumn("run_date", F.lit(run_date)).withColumn("version", F.lit(version))
-    out.write.mode("overwrite").partitionBy("run_date", "version", "fact").parquet(f"{base_path}/master_facts")
+    _write(out, f"{base_path}/master_facts", "run_date", "version", "fact")

@@ -8,7 +8,6 @@ convenience for tests and the bench.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -48,8 +47,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder; set a scratch one only when none is configured.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is always honoured. Only a
-    session without it (local tests) gets a fresh folder under the system temp directory.
+    On a cluster ``spark.checkpoint.dir`` names shared storage and is always honoured. A session
+    without it uses a folder below its warehouse, which all executors share as well.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -57,8 +56,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name shared storage on a cluster")
-    path = tempfile.mkdtemp(prefix="listenscape-ckpt-")
+    path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     sc.setCheckpointDir(path)
     return path

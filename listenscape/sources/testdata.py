@@ -66,7 +66,7 @@ def streams(spark: SparkSession, sf_dir: str, window: RunWindow | None = None) -
         .otherwise(F.concat(F.lit("g"), _s(F.col("user_id"))))
         .alias("gigya_id"),
         (F.col("user_id") * 2 + eid % 2).alias("listener_id"),
-        F.concat(F.lit("S"), _s(eid % 20)).alias("stream_name"),
+        F.concat(F.lit("S"), _s(eid % 27)).alias("stream_name"),
         F.col("event_type").alias("platform"),
         duration.alias("duration"),
         start.alias("request_start"),
@@ -79,7 +79,8 @@ def on_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     return li.select(
         (F.col("l_partkey") % 400).alias("listener_id"),
-        F.col("l_partkey").alias("episode_id"),
+        # Every part has categories, so some plays name episodes that no part has.
+        F.when(F.col("l_orderkey") % 17 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey")).alias("episode_id"),
         F.when(flag == "A", "catchup")
         .when(flag == "N", "podcast")
         .when((flag == "R") & (status == "O"), "newsflash")
@@ -90,7 +91,7 @@ def on_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def episode_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _table(spark, sf_dir, "part")
-    by_type = part.where(F.col("p_partkey") % 17 != 0).select(
+    by_type = part.select(
         F.col("p_partkey").alias("episodeid"), F.col("p_type").alias("category")
     )
     by_brand = part.where(F.col("p_partkey") % 10 == 0).select(
@@ -111,7 +112,7 @@ def consent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nat = _table(spark, sf_dir, "nation").where(F.col("n_nationkey") < 19)
+    nat = _table(spark, sf_dir, "nation")
     n = F.col("n_nationkey")
     k = n % 5
     pruned = F.when(k == 0, "Capital_Live").when(k == 1, "Heart_regional").when(k == 2, "RadioX_Live")
@@ -127,9 +128,13 @@ def stream_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders").where(F.col("o_orderkey") < 1392)
+    orders = _table(spark, sf_dir, "orders")
     ok = F.col("o_orderkey")
-    fqsn = F.element_at(F.array(*[F.lit(v) for v in FIXED_SCHEDULE_FQSN]), (ok % 6 + 1).cast("int"))
+    # One block of 1392 shows fills six stations for 29 days; later blocks belong to stations of their own,
+    # so the schedule grows with the orders and the shows per slot do not.
+    first = F.element_at(F.array(*[F.lit(v) for v in FIXED_SCHEDULE_FQSN]), (ok % 6 + 1).cast("int"))
+    own = F.concat(F.lit("Global:Station"), _s(F.floor(ok / 1392)), F.lit(":UK"))
+    fqsn = F.when(ok >= 1392, own).otherwise(first)
     start = (
         F.lit(FIXED_SCHEDULE_EPOCH0)
         + F.lit(10800) * (F.floor(ok / 6) % 8)

@@ -2,6 +2,8 @@
 
 import pytest
 
+from listenscape.plans import registry
+
 import __spark_entry__ as E
 from listenscape.checks.compare import compare, duckdb_connection
 
@@ -16,7 +18,7 @@ def con():
 
 
 def test_every_query_registered_with_sql_or_marked_rows_only():
-    rows_only = set(QUERIES) - set(SQL)
+    rows_only = set(registry.QUERIES) - set(SQL)
     assert rows_only == {"reduced_components", "segment_matrix"}
     assert set(SQL) <= set(QUERIES)
 

@@ -11,11 +11,15 @@ def test_write_outputs_and_master_facts(spark, tmp_path):
     res = pipeline.run(spark, src, cfg)
     base = str(tmp_path / "out")
     pipeline.write_outputs(res, base, cfg.run_date, cfg.version)
+    pipeline.write_outputs(res, base, "2024-02-05", cfg.version)
+    pipeline.write_outputs(res, base, cfg.run_date, cfg.version)  # a rerun replaces its own partitions only
+    assert spark.read.parquet(f"{base}/model_input").select("run_date").distinct().count() == 2
+    assert spark.read.parquet(f"{base}/segment_status").select("run_date").distinct().count() == 2
     mi = spark.read.parquet(f"{base}/model_input")
     assert {"segment", "run_date", "gigya_id", "feature", "value"} <= set(mi.columns)
-    assert mi.count() == res.model_input.count()
+    assert mi.where(mi.run_date == cfg.run_date).count() == res.model_input.count()
     status = spark.read.parquet(f"{base}/segment_status")
-    assert status.where("action = 'skip_segment'").count() == 1
+    assert status.where("action = 'skip_segment'").where(status.run_date == cfg.run_date).count() == 1
     pipeline.write_master_facts(spark, src, base, cfg.run_date, cfg.version, cfg.main_segments())
     facts = spark.read.parquet(f"{base}/master_facts")
     got = {r["fact"] for r in facts.select("fact").distinct().collect()}
