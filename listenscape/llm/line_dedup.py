@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_COLUMNS, stage, table
+from .common import DOCUMENT_COLUMNS, drop_stage, stage, table
 
 BINS = 1 << 14
 PLACE_BITS = 28
@@ -49,10 +49,23 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _words(line: str = "line") -> Column:
+    return F.array_remove(F.split(line, " "), "")
+
+
+def _places(words: Column, width: int) -> Column:
+    """The places where a line's shingles begin; a line of fewer words has one, at 0."""
+    return F.sequence(F.lit(0), F.greatest(F.size(words) - width, F.lit(0)))
+
+
+def _shingle(words: Column, i: Column, width: int) -> Column:
+    """Hash of the shingle at place i. Places past the end are null, which the hash passes over."""
+    return F.xxhash64(*[F.get(words, i + k) for k in range(width)])
+
+
 def _tokens(width: int, line: str = "line") -> Column:
     """Hashes of the shingles of a line."""
-    return _let(F.array_remove(F.split(line, " "), ""), lambda w: F.when(F.size(w) < width, F.array(F.xxhash64(w))).otherwise(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (width - 1), F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, width)))))
+    return _let(_words(line), lambda w: F.transform(_places(w, width), lambda i: _shingle(w, i, width)))
 
 
 def classes_of(docs: DataFrame, place: Column) -> DataFrame:
@@ -61,29 +74,36 @@ def classes_of(docs: DataFrame, place: Column) -> DataFrame:
     return lines.where(F.trim("line") != "").groupBy("line").agg(F.min(place).alias("ord"))
 
 
-def _ranks(tokens: DataFrame) -> Column:
-    """Rarity class of a token (0: rare) by the count of its bin, as a constant array."""
-    rows = tokens.select(F.explode("tokens").alias("t")).groupBy(F.pmod("t", F.lit(BINS)).alias("bin")).agg(F.count("*").alias("n")).collect()
+def _bin(token: Column) -> Column:
+    return token.bitwiseAND(F.lit(BINS - 1)).cast("int")
+
+
+def _ranks(classes: DataFrame, width: int) -> Column:
+    """Rarity class of a token (0: rare) by the count of its bin, 55 bits up, as a constant array. Shingles are
+    rows here, so that all of it is compiled."""
+    places = classes.select(_words().alias("w")).select("w", F.explode(_places(F.col("w"), width)).alias("i"))
+    bins = places.select(_bin(_shingle(F.col("w"), F.col("i"), width)).alias("bin"))
+    rows = bins.groupBy("bin").agg(F.count("*").alias("n")).collect()
     mean = max(1.0, sum(r.n for r in rows) / BINS)
     ranks = ["0"] * BINS
     for r in rows:  # at most BINS rows
         if r.n > 1.5 * mean:
-            ranks[r.bin] = str(min(127, (int(4 * r.n / mean)).bit_length() * 4))
-    text = ",".join(ranks)
-    return F.split(F.lit(text), ",").cast("array<int>")
+            ranks[r.bin] = str(min(127, (int(4 * r.n / mean)).bit_length() * 4) << 55)
+    return F.split(F.lit(",".join(ranks)), ",").cast("array<long>")
 
 
 def matches(classes: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(b): the ``ord`` of every class that has an earlier matching class. ``classes`` should be staged."""
-    rank = _ranks(classes.select(_tokens(width).alias("tokens")))
+    rank = _ranks(classes, width)
     # Rarity class above 55 bits of hash: sorting the numbers sorts by rarity.
-    key = F.transform(_tokens(width), lambda t: F.shiftleft(rank[F.pmod(t, F.lit(BINS)).cast("int")].cast("long"), 55).bitwiseOR(F.shiftrightunsigned(t, 9)))
-    prefix = _let(F.array_sort(F.array_distinct(key)), lambda s: F.transform(
+    key = F.transform(_tokens(width), lambda t: F.get(rank, _bin(t)).bitwiseOR(F.shiftrightunsigned(t, 9)))
+    prefix = _let(F.sort_array(F.array_distinct(key)), lambda s: F.transform(
         F.slice(s, F.lit(1), F.size(s) - F.ceil(F.size(s) * percent / F.lit(100)).cast("int") + 1),
         lambda t: F.struct(t.alias("token"), F.size(s).alias("n"))))
-    posts = classes.select("ord", F.posexplode(prefix).alias("i", "post")).select("post.token", "ord", "post.n", "i")
+    posts = stage(classes.select("ord", F.posexplode(prefix).alias("i", "post")).select("post.token", "ord", "post.n", "i"), "line-prefixes")
     first = posts.groupBy("token").agg(F.min("ord").alias("a"), F.count("*").alias("posters")).where("posters > 1")
     shared = stage(posts.join(first.hint("shuffle_hash"), "token").select("token", "ord", "n", "i", "a", "posters"), "line-posts")
+    drop_stage(posts)
 
     wanted = shared.select("ord").distinct()
     known = stage(classes.join(wanted, "ord", "left_semi").select("ord", F.array_distinct(_tokens(width)).alias("set")), "line-sets")
