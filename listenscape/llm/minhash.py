@@ -48,6 +48,7 @@ class Hasher:
         self.inverse = np.uint64(pow(int(self.base), -1, 1 << 64))
         self.a = rng.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.b = rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+        self.block = np.empty((256, BANDS * ROWS), np.uint32)
         self.grow(1 << 14)
 
     def grow(self, n: int) -> None:
@@ -84,8 +85,11 @@ class Hasher:
     def signature(self, shingles: np.ndarray) -> bytes:
         x = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
         low = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
-        for i in range(0, len(x), 2048):
-            low = np.minimum(low, (self.a[:, None] * x[None, i:i + 2048] + self.b[:, None]).min(axis=1))
+        for i in range(0, len(x), len(self.block)):  # a block stays in the processor's cache
+            h = self.block[:len(x) - i]
+            np.multiply(x[i:i + len(h), None], self.a, out=h)
+            h += self.b
+            np.minimum(low, h.min(axis=0), out=low)
         return (low & np.uint32(0xFF)).astype(np.uint8).tobytes()
 
 
