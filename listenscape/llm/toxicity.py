@@ -65,28 +65,32 @@ def decode(words: list[str], start: np.ndarray, step: np.ndarray) -> list[str]:
     back = np.zeros((width, n, _N + 1), np.int16)
     kept = np.zeros((width, n, _N + 1), bool)  # no new letter at this character
     lens = np.array([len(w) for w in words])
-    trans = np.vstack([step, start])
+    signs, sign = np.unique(np.array([list(w.ljust(width, "\0")) for w in words]), return_inverse=True)
+    sign = sign.reshape(n, width)
+    opens, skips = np.full((len(signs), _N + 1), -np.inf), np.full(len(signs), -np.inf)
+    for r, c in enumerate(signs.tolist()):
+        if c in _INDEX:
+            opens[r, _INDEX[c]] = LETTER_COST
+        for x in LEET.get(c, ""):
+            opens[r, _INDEX[x]] = max(opens[r, _INDEX[x]], LEET_COST if c not in "uv" else -4.0)
+        if c in SEPARATORS or (c not in _INDEX and c not in LEET):
+            skips[r] = SKIP_COST
+    # A sign opens few letters; only these are reached by a step (the state _N fills up the rows).
+    few = np.argsort(opens == -np.inf, axis=1, kind="stable")[:, :max(1, int((opens > -np.inf).sum(axis=1).max()))]
+    few[np.take_along_axis(opens, few, axis=1) == -np.inf] = _N
+    into = np.vstack([np.vstack([step, start]).T, np.full((1, _N + 1), -np.inf)])
     for t in range(width):
-        emit, skip = np.full((n, _N), -np.inf), np.full(n, -np.inf)
-        for r, w in enumerate(words):
-            if t < len(w):
-                c = w[t]
-                if c in _INDEX:
-                    emit[r, _INDEX[c]] = LETTER_COST
-                for x in LEET.get(c, ""):
-                    emit[r, _INDEX[x]] = max(emit[r, _INDEX[x]], LEET_COST if c not in "uv" else -4.0)
-                if c in SEPARATORS or (c not in _INDEX and c not in LEET):
-                    skip[r] = SKIP_COST
-        come = best[:, :, None] + trans[None]
-        frm = come.argmax(axis=1)
-        new = np.take_along_axis(come, frm[:, None, :], axis=1)[:, 0, :] + emit
-        stay = np.full((n, _N + 1), -np.inf)
-        stay[:, :_N] = best[:, :_N] + REPEAT_COST + emit
+        emit, skip, to = opens[sign[:, t]], skips[sign[:, t]], few[sign[:, t]]
+        come = best[:, None, :] + into[to]
+        frm = come.argmax(axis=2)
+        full = np.full((n, _N + 1), -np.inf)
+        np.put_along_axis(full, to, np.take_along_axis(come, frm[:, :, None], axis=2)[:, :, 0], axis=1)
+        full += emit
+        stay = best + REPEAT_COST + emit
         stay = np.maximum(stay, best + skip[:, None])
         live = (t < lens)[:, None]
-        full = np.concatenate([new, np.full((n, 1), -np.inf)], axis=1)
         kept[t] = (stay >= full) | ~live
-        back[t, :, :_N] = frm
+        np.put_along_axis(back[t], to, frm.astype(np.int16), axis=1)
         best = np.where(live, np.maximum(stay, full), best)
     out = []
     state = best.argmax(axis=1)
@@ -103,13 +107,19 @@ def decode(words: list[str], start: np.ndarray, step: np.ndarray) -> list[str]:
 
 def observed(text: str) -> tuple[set[str], set[str]]:
     """(plain words, disguised words) of a whole text; letters set apart by blanks are one disguised word."""
-    tokens = text.lower().split()
+    text = text.lower()
+    tokens = text.split()
     plain, hidden, run = set(), set(), []
-    for w in set(tokens):
-        w = _EDGE.sub("", w)
-        if w:
+    triple = _TRIPLE.search(text)
+    for t in set(tokens):
+        w = t.rstrip(".,")
+        if w.isalpha():  # letters only: nothing at the edges, no sign, no separator
+            (hidden if triple and _TRIPLE.search(w) else plain).add(w)
+        elif w := _EDGE.sub("", t):
             (hidden if disguised(w) else plain).add(w)
-    if any(len(w) == 1 for w in tokens):
+    # A run needs three tokens of one letter, or of a letter with a stop behind it.
+    sizes = list(map(len, tokens))
+    if 1 in sizes and b"\1\1\1" in bytes(map((3).__gt__, sizes)):
         for w in [*tokens, "   "]:
             if len(w) == 2:
                 w = _EDGE.sub("", w)  # a letter with a stop behind it
@@ -136,6 +146,7 @@ class Restorer:
 
     def __init__(self, start, step, lexicon):
         self.start, self.step, self.known = np.array(start), np.array(step), {}
+        self.heads = {f[:4] for f in lexicon}
         self.doubled = {collapsed(w): w for w in sorted(lexicon) if not w.endswith("*")}
 
     def words(self, texts: list[str | None]) -> list[set[str]]:
@@ -215,10 +226,11 @@ def learn_weights(rows: DataFrame, min_docs: int = 5, min_weight: float = 1.0, m
     return {r.f: r.w for r in found}
 
 
-def evidence(words: set[str], weights: dict[str, float]) -> tuple[float, float]:
-    """(largest weight, sum of weights up to 20) of a document's words; a word counts with its best feature."""
-    each = [max(x) for x in ([weights[f] for f in features(w) if f in weights] for w in words) if x]
-    return (max(each), min(20.0, sum(each))) if each else (0.0, 0.0)
+def evidence(words: set[str], weights: dict[str, float], heads: set[str]) -> tuple[float, float]:
+    """(largest weight, sum of weights up to 20) of a document's words; a word counts with its best feature.
+    ``heads`` holds the first letters of all features, as many as the shortest prefix has: other words have none."""
+    each = sorted(max(x) for x in ([weights[f] for f in features(w) if f in weights] for w in words if w[:4] in heads) if x)
+    return (each[-1], min(20.0, sum(each))) if each else (0.0, 0.0)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -261,7 +273,7 @@ def _score_rows(docs: DataFrame, keep: list[str], model: dict, raw: bool = False
             cache["restorer"] = (key, Restorer(model["start"], model["step"], model["weights"]))
         restorer = cache["restorer"][1]
         for batch in batches:
-            found = [evidence(w, model["weights"]) for w in restorer.words(batch.column("text").to_pylist())]
+            found = [evidence(w, model["weights"], restorer.heads) for w in restorer.words(batch.column("text").to_pylist())]
             cols = [batch.column(c) for c in keep]
             if raw:
                 yield pa.RecordBatch.from_arrays([*cols, pa.array([a for a, _ in found], pa.float64()), pa.array([b for _, b in found], pa.float64())], [*keep, "top", "total"])
