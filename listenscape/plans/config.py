@@ -97,12 +97,7 @@ def load_run_config(control_path: str, mapping_root: str, default_platform: str
         template_path = _find(folder, f"{name}_template")
         iab_path = _find(folder, f"iab_map_{name}")
         playlist = _load_json(playlist_path) if playlist_path else {"map": {}, "live": [], "prev_playlists": []}
-        extra = []
-        if iab_path:
-            try:
-                extra.append(_load_json(iab_path))
-            except ValueError:
-                extra = []
+        extra = [_load_json(iab_path)] if iab_path else []
         cfg = SegmentConfig(
             name=name,
             is_main=bool(seg.get("is_main", False)),
