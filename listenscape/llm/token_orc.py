@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import input_bytes, scratch_path, worker_cache
+from .common import input_bytes, scratch_path, stage, worker_cache
 
 #: Words kept per Python worker; beyond it only words met more than once are kept. Texts are lower-cased
 #: by the vocabulary's own normaliser, so ASCII texts may be lower-cased before the look-up.
@@ -46,20 +46,22 @@ class WordIds:
             # Words that were met again stay; those met once make room.
             self.codes, self.often = self.often, {"": b""}
         # A word of letters is one pre-token, and so is a stop or comma behind it.
-        plain = {w: (w[:-1], w[-1]) if w[-1] in ".," else (w, "") for w in words if w.isalpha() or (w[-1] in ".," and w[:-1].isalpha())}
-        bases = list({b for b, _ in plain.values()} - self.codes.keys())
+        letters = set(filter(str.isalpha, words))
+        rest = words - letters
+        stops = [w for w in rest if w[-1] in ".," and w[:-1].isalpha()]
+        bases = list(letters.union([w[:-1] for w in stops]).difference(self.codes))
         for i in range(0, len(bases), 256):
             self.codes.update(self.encode_letters(bases[i:i + 256]))
-        rest = [w for w in words if w not in plain]
-        self.codes.update(self.encode_each([*rest, ".", ","]))
-        self.codes.update([(w, self.codes[b] + self.codes[stop]) for w, (b, stop) in plain.items()])
+        self.codes.update(self.encode_each([*rest.difference(stops), ".", ","]))
+        ends = {c: self.codes[c] for c in ".,"}
+        self.codes.update([(w, self.codes[w[:-1]] + ends[w[-1]]) for w in stops])
 
     def encode_each(self, words: list[str]) -> list[tuple[str, bytes]]:
         return [(w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False))]
 
     def encode_letters(self, words: list[str]) -> list[tuple[str, bytes]]:
         """Words of letters in one call, cut behind the ids that end a word."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(words):  # a letter whose lower-case form is more than letters
             return self.encode_each(words)
@@ -69,22 +71,18 @@ class WordIds:
     def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
         """The ids of each text, ended by end_id."""
         end = int(end_id).to_bytes(4, "little")
-        known, rows, missing = self.codes.get, [], set()
-        for t in texts:
-            words = (t.lower() if t.isascii() else t).replace("\n", " ").split(" ") if t else []
-            codes = list(map(known, words))
-            lacking = None in codes
-            if lacking:
-                missing.update(w for w, c in zip(words, codes) if c is None)
-            rows.append((words, codes, lacking))
+        rows = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ") if t else [] for t in texts]
+        met = set().union(*rows)
+        missing = met.difference(self.codes)
+        known = self.codes.__getitem__
         if missing:
             if len(self.codes) > CACHE_WORDS // 2:
-                met = set().union(*(r[0] for r in rows)) - missing
-                self.often.update((w, self.codes[w]) for w in met if w in self.codes)
+                self.often.update([(w, self.codes[w]) for w in met - missing])
             found = self.codes
             self.learn(missing)
-            known = self.codes.get if self.codes is found else (lambda w: self.codes.get(w) or found.get(w, b""))
-        return [b"".join(map(known, words) if lacking else codes) + end for words, codes, lacking in rows]
+            if self.codes is not found:  # the cache was changed: what it held is still of use here
+                known = {**{w: found[w] for w in met - missing}, **self.codes}.__getitem__
+        return [b"".join(map(known, words)) + end for words in rows]
 
 
 def encoder(tokenizer_path: str, end_id: int):
@@ -111,7 +109,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, file
      .mapInArrow(encoder(tokenizer_path, end_id), "doc_id long, ids array<int>")
      .sortWithinPartitions("doc_id", "ids")
      .write.mode("overwrite")
-     .option("compression", "zlib")
+     .option("compression", "zstd")
      .option("orc.stripe.size", str(stripe_bytes))
      .option("orc.row.index.stride", str(row_index_stride))
      .option("orc.bloom.filter.columns", "doc_id")
@@ -138,6 +136,7 @@ def read_offsets(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = (spark.read.orc(path).withColumn("file", F.input_file_name())
             .mapInArrow(checksums, "doc_id long, file string, n_tokens long, ids_crc32 long"))
+    rows = stage(rows, "token-rows")  # the ids are read once, and two aggregates use the rows
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     base = files.select("file", (F.sum("n").over(Window.orderBy("first", "last", "file")) - F.col("n")).alias("base"))
     inside = Window.partitionBy("file").orderBy("doc_id", "ids_crc32", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
