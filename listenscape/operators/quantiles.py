@@ -6,7 +6,7 @@ column is first reduced to (value, count) - a hot value becomes one row - and th
 are cut into ``buckets`` ranges at approximate quantiles. Inside each range a window gives the
 cumulative count, a small per-range table gives the offsets, and the two order statistics around
 each requested position are picked with one distributed aggregate. The result equals pandas'
-``Series.quantile`` (linear method).
+``Series.quantile`` (linear method). A column without values has None for every quantile.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ def exact_quantiles(df: DataFrame, column: str, probs: list[float], buckets: int
     vc = vc.cache()
     try:
         cuts = vc.approxQuantile("v", [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))
+        if not cuts:  # no value at all
+            return [None] * len(probs)
         splits = [float("-inf")] + sorted(set(cuts)) + [float("inf")]
         b = Bucketizer(splits=splits, inputCol="v", outputCol="bucket").transform(vc)
         per_bucket = b.groupBy("bucket").agg(F.sum("cnt").alias("bucket_cnt"))

@@ -67,8 +67,11 @@ def slot_brand(streams: DataFrame, stream_map: DataFrame, window: RunWindow) ->
     per_slot = slots.groupBy("gigya_id", "stream_name", "slot_start", "slot_end").agg(
         F.sum("slot_seconds").alias("seconds")
     )
-    joined = per_slot.join(stream_map, "stream_name", "left")
-    return joined.select(
+    return _branded(per_slot, stream_map)
+
+
+def _branded(slots: DataFrame, stream_map: DataFrame) -> DataFrame:
+    return slots.join(stream_map, "stream_name", "left").select(
         "gigya_id",
         "stream_name",
         X.stream_brand("playlist_pruned", "channel", "playlist").alias("brand_name"),
@@ -98,7 +101,11 @@ def show_match(streams: DataFrame, stream_map: DataFrame, schedule: DataFrame, w
     small (shows x hours) and AQE broadcasts it when its measured size is under the threshold;
     otherwise the join stays a shuffled hash / sort-merge join on (brand, bucket).
     """
-    slots = slot_brand(streams, stream_map, window).withColumn("bucket", _hour_bucket(F.col("slot_start")))
+    return _matched(slot_brand(streams, stream_map, window), schedule, window, half_open)
+
+
+def _matched(slots: DataFrame, schedule: DataFrame, window: RunWindow, half_open: bool) -> DataFrame:
+    slots = slots.withColumn("bucket", _hour_bucket(F.col("slot_start")))
     shows = schedule_brand(schedule, window).select(
         "brand",
         F.col("show_start"),
@@ -125,8 +132,12 @@ def show_match(streams: DataFrame, stream_map: DataFrame, schedule: DataFrame, w
 def playlist_duration(streams: DataFrame, stream_map: DataFrame, schedule: DataFrame, window: RunWindow,
                       half_open: bool = False) -> DataFrame:
     """Seconds per (id, playlist): unmatched slots count under the stream's pruned playlist name,
-    matched ones under `<first '_' part of it>_<show name>`."""
-    m = show_match(streams, stream_map, schedule, window, half_open)
+    matched ones under `<first '_' part of it>_<show name>`.
+
+    The sum is additive, so the slots are not summed by themselves first: where the two dimensions
+    are broadcast, the partial sums by (id, playlist) are the only exchange on the slot side."""
+    slots = listening_slots(streams, window).withColumnRenamed("slot_seconds", "seconds")
+    m = _matched(_branded(slots, stream_map), schedule, window, half_open)
     playlist = F.when(F.col("tag") == 0, F.col("playlists")).otherwise(
         F.concat(X.part("playlists", "_", 1), F.lit("_"), F.col("show_long_name"))
     )

@@ -82,6 +82,18 @@ def test_exact_quantiles_match_numpy(spark):
     assert got == pytest.approx([float(np.quantile(vals, p)) for p in probs])
 
 
+def test_quantiles_and_cut_without_values(spark):
+    none = spark.createDataFrame([], "gigya_id string, total_listen_time bigint")
+    one = spark.createDataFrame([("a", 5)], none.schema)
+    nulls = spark.createDataFrame([("a", None), ("b", None)], none.schema)
+    assert exact_quantiles(none, "total_listen_time", [0.25, 0.95]) == [None, None]
+    assert exact_quantiles(nulls, "total_listen_time", [0.5]) == [None]
+    assert exact_quantiles(one, "total_listen_time", [0.25, 0.95]) == [5.0, 5.0]
+    # the heaviest listener is taken out first, so one listener leaves no one
+    assert matrix.outlier_cut(none).collect() == []
+    assert matrix.outlier_cut(one).collect() == []
+
+
 def test_stats_with_implicit_zeros_and_constant_scaling(spark):
     cells = spark.createDataFrame(
         [("T", "a", "f", 5.0), ("T", "b", "f", 5.0), ("T", "a", "k", 2.0), ("T", "b", "k", 2.0),

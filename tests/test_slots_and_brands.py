@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from listenscape.functions import expressions as X
 from listenscape.operators import slots
-from listenscape.sources import schemas
+from listenscape.sources import schemas, testdata
 from listenscape.sources.window import RunWindow
 
 W = RunWindow.ending("2024-01-29")
@@ -98,6 +98,13 @@ def test_interval_join_boundaries(spark):
     assert pl == {"Capital_A": 600, "Capital_B": 300, "Capital_Live": 600}
 
 
+def test_playlist_seconds_need_one_exchange_by_listener(spark):
+    t = testdata.bind(spark, "/root/testdata/sf0.001")
+    plan = slots.playlist_duration(t.streams, t.stream_map, t.schedule, W)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(gigya_id") == 1
+    assert "slot_start" not in "".join(x for x in plan.splitlines() if "Exchange hashpartitioning(gigya_id" in x)
+
+
 def test_age_bands(spark):
     ages = [14, 15, 19, 20, 24, 25, 34, 35, 44, 45, 54, 55, 59, 60, None]
     want = ["u", "15-19", "15-19", "20-24", "20-24", "25-34", "25-34", "35-44", "35-44", "45-54", "45-54",
