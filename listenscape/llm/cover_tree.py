@@ -9,7 +9,8 @@ Equal unit vectors collapse to one point with a weight.
 2. Every block becomes one cover tree: nested levels with halving radii; a node keeps its centre, its true
    covering radius and a range of points.
 3. Pairs of blocks whose cells can hold a link (centre distance <= threshold + both radii) are traversed
-   together, level by level. A node pair is dropped if distance - both radii exceeds the threshold; if
+   together, level by level; blocks travel in bundles of about ``bundle_rows`` points, and a bundle meets
+   another as a whole, so that points are sent once a bundle and not once a block. A node pair is dropped if distance - both radii exceeds the threshold; if
    distance + both radii is within it, all its pairs are links and are counted without being listed.
    What is left at the bottom is compared in double precision.
 4. Each task returns link counts per vector and the edges of a spanning forest, never its pairs. Counts
@@ -216,23 +217,30 @@ def _trees(batches):
 def _traverse(cosine: float):
     def run(batches):
         for batch in batches:
-            for same, a, b in zip(batch.column("same").to_pylist(), batch.column("tree_a").to_pylist(), batch.column("tree_b").to_pylist()):
-                ta, tb = pickle.loads(a), pickle.loads(b)
-                na, nb, edges = dual(ta, tb, cosine, ta["weights"], tb["weights"])
-                n = len(na)
-                if same:
-                    ids, count = ta["ids"], na - 1  # a point's link with itself
-                    label = _forest(n, edges[:, 0], edges[:, 1])
-                else:
-                    ids, count = np.concatenate([ta["ids"], tb["ids"]]), np.concatenate([na, nb])
-                    label = _forest(n + len(nb), edges[:, 0], edges[:, 1] + n)
-                some = np.flatnonzero((count > 0) | (label != np.arange(len(label))))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(count[some]), pa.array(ids[label[some]])], ["rep", "n", "root"])
+            for same, a, b in zip(batch.column("same").to_pylist(), batch.column("trees_a").to_pylist(), batch.column("trees_b").to_pylist()):
+                trees = [pickle.loads(x) for x in a]
+                others = trees if same else [pickle.loads(x) for x in b]
+                for i, ta in enumerate(trees):
+                    for tb in others[i if same else 0:]:
+                        yield links(ta, tb)
+
+    def links(ta: dict, tb: dict) -> pa.RecordBatch:
+        same = ta is tb
+        na, nb, edges = dual(ta, tb, cosine, ta["weights"], tb["weights"])
+        n = len(na)
+        if same:
+            ids, count = ta["ids"], na - 1  # a point's link with itself
+            label = _forest(n, edges[:, 0], edges[:, 1])
+        else:
+            ids, count = np.concatenate([ta["ids"], tb["ids"]]), np.concatenate([na, nb])
+            label = _forest(n + len(nb), edges[:, 0], edges[:, 1] + n)
+        some = np.flatnonzero((count > 0) | (label != np.arange(len(label))))
+        return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(count[some]), pa.array(ids[label[some]])], ["rep", "n", "root"])
 
     return run
 
 
-def link_groups(vectors: DataFrame, cosine: float = 0.9, block_rows: int = 2048, sample_rows: int = 4096, max_cells: int = 512) -> DataFrame:
+def link_groups(vectors: DataFrame, cosine: float = 0.9, block_rows: int = 2048, bundle_rows: int = 8192, sample_rows: int = 4096, max_cells: int = 512) -> DataFrame:
     """vec_id, n_links, component_id for every row of ``vectors`` (vec_id, embedding)."""
     spark = vectors.sparkSession
     rows = stage(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(_unit_rows, "vec_id long, unit binary"), "units")
@@ -265,15 +273,22 @@ def link_groups(vectors: DataFrame, cosine: float = 0.9, block_rows: int = 2048,
     try:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # a row holds a block
         trees = stage(blocks.mapInArrow(_trees, "cell long, part long, tree binary"), "trees")
-        names = trees.select("cell", "part")
-        pairs = (spark.createDataFrame(near, "cell_a long, cell_b long")
-                 .join(names.toDF("cell_a", "part_a"), "cell_a").join(names.toDF("cell_b", "part_b"), "cell_b")
-                 .where("cell_a < cell_b OR part_a <= part_b"))
-        both = (pairs.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(near) // 8), "cell_a", "part_a", "cell_b", "part_b")
-                .join(trees.toDF("cell_a", "part_a", "tree_a"), ["cell_a", "part_a"])
-                .join(trees.toDF("cell_b", "part_b", "tree_b"), ["cell_b", "part_b"])
-                .repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(near) // 8), "cell_a", "part_a", "cell_b", "part_b")
-                .select(F.expr("cell_a = cell_b AND part_a = part_b").alias("same"), "tree_a", "tree_b"))
+        # Cells in order fill bundles of about bundle_rows points, the parts of a large cell several of them.
+        heap, filled = {}, 0
+        for c in sorted(cells):
+            heap[c], filled = filled, filled + cells[c].n
+        first = F.create_map(*[F.lit(x) for c, r in cells.items() for x in (c, heap[c])])
+        share = F.create_map(*[F.lit(x) for c, r in cells.items() for x in (c, r.n // -(-r.n // block_rows))])
+        bundle = F.floor((first[F.col("cell")] + F.col("part") * share[F.col("cell")]) / bundle_rows)
+        bundles = stage(trees.withColumn("bundle", bundle).groupBy("bundle").agg(F.collect_list("tree").alias("trees"), F.collect_set("cell").alias("cells")), "bundles")
+        inside = bundles.select("bundle", F.explode("cells").alias("cell"))
+        pairs = (spark.createDataFrame(near + [(b, a) for a, b in near if a < b], "cell_a long, cell_b long")
+                 .join(inside.toDF("a", "cell_a"), "cell_a").join(inside.toDF("b", "cell_b"), "cell_b")
+                 .where("a <= b").select("a", "b").distinct())
+        both = (pairs.join(bundles.select("bundle", "trees").toDF("a", "trees_a"), "a")
+                .join(bundles.select("bundle", "trees").toDF("b", "trees_b"), "b")
+                .repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(near) // 8), "a", "b")
+                .select(F.expr("a = b").alias("same"), "trees_a", "trees_b"))
         found = stage(both.mapInArrow(_traverse(cosine), "rep long, n long, root long"), "vector-links")
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
