@@ -162,6 +162,19 @@ def test_op6_reads_disguised_words():
     assert "idiot" in hidden and "words" in plain
 
 
+def toxic_words():
+    counts = np.ones((toxicity._N + 1, toxicity._N + 1))
+    lexicon = {f: 2.0 for w in ["idiot", "moron", "loser", "scum"] for f in (w, w[:4] + "*") if len(w) > 4 or f == w}
+    start, step = toxicity.language_model(counts, [w for w in lexicon if not w.endswith("*")])
+    return toxicity.Restorer(start, step, lexicon, ["looser"])
+
+
+def test_op6_gate_passes_partly_separated_and_doubled_words():
+    for text, want in [("a sc.u.m here", {"scum"}), ("mo.ron", {"moron"}), ("id-iot!", {"idiot"}), ("moorroon", {"moron"}),
+                       ("idiioott,", {"idiot"}), ("l'idiot", {"idiot"}), ("looser or well-known or mo.re", set()), ("sc\u200bum", {"scum"})]:
+        assert toxic_words().words([text]) == [want], text
+
+
 def test_op6_held_out_accuracy(spark):
     d = "/root/testdata/sf0.01"
     got = queries.QUERIES["op6_toxicity"](spark, d).join(common.table(spark, d, "labels"), "doc_id").where("held_out")
