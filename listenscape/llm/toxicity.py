@@ -15,8 +15,8 @@ kept; both are documented bounds. Bigram counts have a fixed size (alphabet squa
 
 Cases: null and empty texts get the score of a text without weighted words. Without labels of both kinds
 every score is the share of toxic labels (0 without labels). Ties cannot arise; repeated rows score
-alike; extra columns are ignored. Whole texts are read, and a run of letters set apart by blanks is cut at 64
-characters. Words may begin and end at separators. A doubled letter is a disguise unless the
+alike; extra columns are ignored. Whole texts are read, and disguised words and runs of any length: words may begin
+and end at separators, and anywhere in a run of letters set apart by blanks. A doubled letter is a disguise unless the
 word as it stands is usual in documents that are not toxic (at most 5,000 such words are kept).
 """
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, worker_cache
+from .common import stage, table, worker_cache
 from .langid import held_out
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzßàáâäåæçèéêëìíîïñòóôöøùúûüœ"
@@ -176,7 +176,7 @@ def runs(tokens: list[str]) -> list[str]:
                 run.append(w)
             else:
                 if len(run) >= 3:
-                    out.extend("".join(run[i:i + 64]) for i in range(0, len(run), 64))
+                    out.append("".join(run))
                 run = []
     return out
 
@@ -193,7 +193,8 @@ class Restorer:
     """Plain and restored words of texts that may have a weight. A repeat and a double letter look alike on the
     channel, so a restored word that equals a learned word but for doubled letters is read as that word.
 
-    A word can begin and end at any separator of a token. Only places that fold like a learned word or prefix are decoded, which leaves out nothing. ``usual`` holds plain words
+    A word can begin and end at any separator of a token, and anywhere in a run of letters set apart by blanks. Only
+    places that fold like a learned word or prefix are decoded, which leaves out nothing. ``usual`` holds plain words
     with a doubled letter that are not to be read as another word."""
 
     def __init__(self, start, step, lexicon, usual=()):
@@ -279,7 +280,7 @@ class Restorer:
         plain.update(zip([t for t, _ in hidden], self.restore([(w, False) for _, w in hidden])))
         known.update(plain)
         apart = [runs(x) for x in split]
-        spaced = iter(self.restore([(w, False) for x in apart for w in x]))
+        spaced = iter(self.restore([(w, True) for x in apart for w in x]))
         out = [set().union(*[known[t] for t in d if known[t]], *[next(spaced) for _ in a]) for d, a in zip(distinct, apart)]
         for t in new:
             if len(t) > 1000:
@@ -403,6 +404,7 @@ def fit(docs: DataFrame, labelled: DataFrame, train_rows: int = 20_000) -> dict:
     model = {"weights": {}, "coef": [0.0, 0.0], "const": 0.0, "start": None, "step": None, "usual": [], "flat": float(n[1])}
     if n[0] > train_rows:
         labelled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(train_rows / n[0] * (1 << 30)))
+    labelled = stage(labelled, "toxicity-labelled")  # read three times; the join with the texts runs once
     model["weights"] = learn_weights(labelled)
     start, step = language_model(bigram_counts(docs), [w for w in model["weights"] if not w.endswith("*")])
     model["start"], model["step"] = start.tolist(), step.tolist()

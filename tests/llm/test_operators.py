@@ -175,6 +175,20 @@ def test_op6_gate_passes_partly_separated_and_doubled_words():
         assert toxic_words().words([text]) == [want], text
 
 
+def test_op6_words_inside_runs_and_behind_character_64():
+    long = "x/" * 40
+    for text, want in [("such a m o r o n", {"moron"}), ("y o u a r e a n i d i o t", {"idiot"}), ("y o u 1 d 1 0 t s c u m", {"idiot", "scum"}),
+                       ("b c " * 30 + "a m o r o n", {"moron"}), ("b " * 62 + "m o r o n", {"moron"}), ("l" + "o" * 70 + "ser", {"loser"}),
+                       (long + "m0r0n", {"moron"}), ("ab-" * 30 + "id-iot", {"idiot"}), ("x" * 90 + "/l0ser", {"loser"})]:
+        assert toxic_words().words([text]) == [want], text
+
+
+def test_op6_blocks_change_no_reading():
+    r = toxic_words()
+    words = ["1d10t-" * 30 + "m0r0n", "l" + "o" * 200 + "s3r", "uv1" * 60, "a.b.c" * 40]
+    assert toxicity.decode(words, r.start, r.step, block=7) == toxicity.decode(words, r.start, r.step, block=10_000)
+
+
 def test_op6_held_out_accuracy(spark):
     d = "/root/testdata/sf0.01"
     got = queries.QUERIES["op6_toxicity"](spark, d).join(common.table(spark, d, "labels"), "doc_id").where("held_out")
