@@ -123,6 +123,33 @@ def test_op4_samples_without_replacement_follow_the_lattice():
     assert abs(np.mean([sum(np.exp(s[1]) / s[2] for s in x) for x in found]) - 1) < 0.05
 
 
+def test_op4_long_texts_have_one_search(monkeypatch):
+    import pyarrow as pa
+
+    pieces = sample_pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    rows = [(7, "there were three others " * 20)]
+    want = sample_pieces.table_of(rows, pieces, 3, True, pa.int64()).to_pylist()
+    monkeypatch.setattr(sample_pieces, "CHUNK_CHARS", 50)
+    assert sample_pieces.table_of(rows, pieces, 3, True, pa.int64()).to_pylist() == want
+    assert len(want) == 3 and all(r["round_trip"] for r in want)
+
+
+def test_op4_long_words_and_runs_of_blanks_have_whole_lattices():
+    pieces = sample_pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    piece_of = {i: t.decode() for i, t in enumerate(pieces.text) if t.isascii()}
+    for text, across in [("there" * 15, 48), ("a" + " " * 6 + "b  c ", 3), ("  x", 2)]:
+        seen, logp = {}, {}
+        for key in range(600):
+            for ids, p, _ in sample_pieces.segment([text], sample_pieces.row_keys([key]), pieces, 2)[0]:
+                assert pieces.decode(ids).decode() == text
+                cuts = set(np.cumsum([len(piece_of[i]) for i in ids.tolist()]).tolist())
+                seen[tuple(ids.tolist())] = cuts
+                logp[tuple(ids.tolist())] = p
+        assert any(across not in c for c in seen.values()), text  # a piece goes across this place
+        assert sum(map(np.exp, logp.values())) < 1 + 1e-9
+    assert sum(map(np.exp, logp.values())) > 0.99  # all segmentations of the last text
+
+
 def test_op5_equals_brute_force(spark, sf_dir, docs):
     posted, sets, seen, want = {}, [], set(), {}
     for i, t in sorted(docs.items()):
