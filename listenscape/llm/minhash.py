@@ -19,6 +19,7 @@ A pair at the threshold of 0.8 shares no band with probability (1 - 0.8^7)^48 =
 
 Cases: null and empty texts, and texts of white space only, have an empty set, link with nothing and are kept.
 Equal texts link. Rows sharing a doc_id keep a row each; for links, a doc_id stands for all its rows.
+The pipeline's stage keeps rows without a doc_id, and a row for each different set of a kept doc_id.
 Empty tables give empty results; extra columns are ignored; long texts are hashed in blocks.
 """
 
@@ -104,7 +105,7 @@ def _signer(width: int):
     def run(batches):
         h = hasher()
         for batch in batches:
-            sizes, high, low, signs = [], [], [], []
+            sizes, high, low, signs, keys = [], [], [], [], []
             for t in batch.column("text").cast(pa.binary()).to_pylist():
                 s = h.shingles(t, width)
                 sizes.append(len(s))
@@ -112,9 +113,10 @@ def _signer(width: int):
                 high.append(int.from_bytes(d[:8], "little", signed=True) if d else None)
                 low.append(int.from_bytes(d[8:], "little", signed=True) if d else None)
                 signs.append(h.signature(s) if d else None)
+                keys.append(hashlib.md5(t).digest() if t is not None else b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(signs, pa.binary())],
-                ["doc_id", "n_shingles", "d1", "d2", "sign"])
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(signs, pa.binary()), pa.array(keys, pa.binary())],
+                ["doc_id", "n_shingles", "d1", "d2", "sign", "text_key"])
 
     return run
 
@@ -188,9 +190,14 @@ class _Confirm:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, star_rounds: int = 3) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
+    return _grouped(docs, width, percent, star_rounds).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(docs: DataFrame, width: int, percent: int = 80, star_rounds: int = 3) -> DataFrame:
+    """doc_id, n_shingles, component_id, the set's digest (d1, d2) and the text's (text_key) for every row of ``docs``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = stage(docs.select("doc_id", "text").mapInArrow(
-        _signer(width), f"doc_id {kind}, n_shingles long, d1 long, d2 long, sign binary"), "minhash-rows")
+        _signer(width), f"doc_id {kind}, n_shingles long, d1 long, d2 long, sign binary, text_key binary"), "minhash-rows")
     classes = stage(rows.where("n_shingles > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("sign").alias("sign")), "minhash-classes")
     posts = classes.select("rep", "sign").mapInArrow(_bands, f"key long, rep {kind}")
     sizes = posts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
@@ -226,9 +233,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, star_rou
             groups = stage(components(links), "minhash-groups")
     named = (classes.select("d1", "d2", "rep").join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
              .select("d1", "d2", F.coalesce("component", "rep").alias("component_id")))
-    some = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"])
-    none = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return some.select("doc_id", "n_shingles", "component_id").unionAll(none)
+    some = rows.where("n_shingles > 0").select("doc_id", "n_shingles", "d1", "d2", "text_key").join(named, ["d1", "d2"])
+    none = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "n_shingles", "component_id", "d1", "d2", "text_key"]
+    return some.select(*columns).unionAll(none.select(*columns))
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,6 +245,13 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest doc_id."""
-    kept = near_duplicates(docs, width=5).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.select(*DOCUMENT_COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Of each group the rows with the smallest doc_id, one for each shingle set (the text with the smallest digest);
+    of texts without shingles, one row for each doc_id and text. Rows without a doc_id have no group and are all kept."""
+    docs = docs.select(*DOCUMENT_COLUMNS)
+    named = docs.where("doc_id IS NOT NULL")
+    kept = (_grouped(named, width=5).where("doc_id = component_id")
+            .groupBy("doc_id", "d1", "d2", F.when(F.col("n_shingles") == 0, F.col("text_key")).alias("bare"))
+            .agg(F.min("text_key").alias("text_key")).select("doc_id", "text_key").distinct())
+    named = named.withColumn("text_key", F.coalesce(F.unhex(F.md5("text")), F.lit(b"")))
+    one = named.join(kept, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return one.select(*DOCUMENT_COLUMNS).unionAll(docs.where("doc_id IS NULL"))

@@ -91,6 +91,14 @@ def test_op3_equals_brute_force(spark, sf_dir, docs):
     assert run(spark, sf_dir, "op3_minhash") == {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
 
 
+def test_near_dedup_stage_keeps_rows_without_id_and_texts_that_share_one(spark, sf_dir):
+    a, b, c = ("".join(f"{w}{i} " for i in range(30)) for w in ("apple", "berry", "cherry"))
+    rows = [(None, a), (None, a), (None, c), (1, a), (2, a), (2, b), (2, b), (3, b.upper()), (4, c), (4, "short one"), (5, None), (5, ""), (5, " ")]
+    odd = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter((r.doc_id, r.text) for r in minhash.pipeline_stage(spark, odd, sf_dir).collect())
+    assert got == Counter([(None, a), (None, a), (None, c), (1, a), (2, b), (4, c), (4, "short one"), (5, None), (5, ""), (5, " ")])
+
+
 def test_op4_round_trip_distinct_and_repeatable(spark, sf_dir):
     rows = queries.QUERIES["op4_sample_pieces"](spark, sf_dir).collect()
     again = queries.QUERIES["op4_sample_pieces"](spark, sf_dir).repartition(5).collect()
