@@ -19,8 +19,8 @@ Equal unit vectors collapse to one point with a weight.
 Work on m blocks that no bound separates (random directions in many dimensions) is m^2 / 2 block pairs; that
 is the nature of an exact search. Driver and broadcast data: the centres (at most ``max_cells``).
 
-Cases: null or zero vectors, and vectors with a null or non-finite component or another length than
-most, link with nothing. Equal vectors link. Rows sharing a vec_id keep a row each. Empty tables give empty
+Cases: null or zero vectors, and vectors with a null or non-finite component link with nothing; others
+link with vectors of their own length only, and each length has its own cells and trees. Equal vectors link. Rows sharing a vec_id keep a row each. Empty tables give empty
 results. Extra columns and labels are ignored.
 """
 
@@ -242,12 +242,28 @@ def _traverse(cosine: float):
 
 def link_groups(vectors: DataFrame, cosine: float = 0.9, block_rows: int = 2048, bundle_rows: int = 8192, sample_rows: int = 4096, max_cells: int = 512) -> DataFrame:
     """vec_id, n_links, component_id for every row of ``vectors`` (vec_id, embedding)."""
-    spark = vectors.sparkSession
     rows = stage(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(_unit_rows, "vec_id long, unit binary"), "units")
-    size = rows.where("unit IS NOT NULL").groupBy(F.length("unit").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if size is None:
+    # A vector alone in its length links with nothing.
+    sizes = [r.n for r in rows.where("unit IS NOT NULL").groupBy(F.length("unit").alias("n")).count().where("count > 1").orderBy("n").collect()]
+    if not sizes:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    points = stage(rows.where(F.length("unit") == size.n).groupBy("unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "points")
+    points = stage(rows.where("unit IS NOT NULL").groupBy("unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "points")
+    found = None
+    for n in sizes:  # vectors of different lengths cannot link
+        own = _links_among(points.where(F.length("unit") == n), cosine, block_rows, bundle_rows, sample_rows, max_cells)
+        found = own if found is None else found.unionAll(own)
+    counts = found.groupBy("rep").agg(F.sum("n").alias("n_links"))
+    groups = components(found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    named = (points.select("unit", "rep").join(counts, "rep", "left")
+             .join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
+             .select("unit", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "rep").alias("component_id")))
+    return (rows.join(named, "unit", "left")
+            .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")))
+
+
+def _links_among(points: DataFrame, cosine: float, block_rows: int, bundle_rows: int, sample_rows: int, max_cells: int) -> DataFrame:
+    """rep, n, root: link counts and forest edges of ``points`` (unit, rep, weight), all of one length."""
+    spark = points.sparkSession
     total = points.count()
     k = int(np.clip(total // (block_rows // 2), 1, max_cells))
     sample = points.select("unit").orderBy(F.xxhash64("unit")).limit(sample_rows).collect()  # at most sample_rows vectors
@@ -292,13 +308,7 @@ def link_groups(vectors: DataFrame, cosine: float = 0.9, block_rows: int = 2048,
         found = stage(both.mapInArrow(_traverse(cosine), "rep long, n long, root long"), "vector-links")
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
-    counts = found.groupBy("rep").agg(F.sum("n").alias("n_links"))
-    groups = components(found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    named = (points.select("unit", "rep").join(counts, "rep", "left")
-             .join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
-             .select("unit", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "rep").alias("component_id")))
-    return (rows.join(named, "unit", "left")
-            .select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")))
+    return found
 
 
 def op10_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -351,3 +351,10 @@ def test_pipeline(spark, sf_dir):
         if name != "sample_pieces":
             assert docs.columns == common.DOCUMENT_COLUMNS
     assert sizes[0] >= sizes[1] >= sizes[2] >= sizes[3] > 0 and docs.where("NOT round_trip").count() == 0
+
+
+def test_op10_every_length_has_links(spark):
+    rows = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0]), (4, [1.0, 0.0, 0.0]), (5, [1.0, 0.0, 0.0]), (6, [1.0]), (7, [1.0, 0.01, 0.0]), (8, None)]
+    got = cover_tree.link_groups(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    want = {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (2, 4), 5: (2, 4), 6: (0, 6), 7: (2, 4), 8: (0, 8)}
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
