@@ -7,7 +7,9 @@ import re
 import sys
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -87,6 +89,38 @@ def shard_count(df: DataFrame, shard_bytes: int) -> int:
     return max(2 * parts, -(-input_bytes(df) // shard_bytes))
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Larger Arrow batches while narrow rows (numbers, short strings) go through Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def in_order(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` staged in ranges of ``order``, with ``_id``: 2^33 times the number of the range plus the place in
+    it. Ranges follow sampled quantiles of the whole order, so that a hot leading key is cut into many."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stage(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                 .withColumn("_id", F.monotonically_increasing_id()), name)
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``rank``, from 1 within ``keys`` (never null) by ``order``. A group of any size is ranked: it is
+    cut into ranges, and a row's rank is the size of the group's earlier ranges plus its place in its own. The
+    window below sees a row per range."""
+    rows = in_order(df, [F.col(k) for k in keys] + order, name).withColumn("_range", F.shiftright("_id", 33))
+    ranges = rows.groupBy(*keys, "_range").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_range")
+    ranges = ranges.withColumn("_base", F.sum("_n").over(before) - F.col("_n")).drop("_n")
+    return (rows.join(ranges, [*keys, "_range"]).withColumn("rank", F.col("_base") + F.col("_id") - F.col("_first") + 1)
+            .drop("_id", "_range", "_first", "_base"))
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker (models and vocabularies are built once)."""
     if not hasattr(sys, "_listenscape_worker"):
