@@ -10,8 +10,8 @@ frequent, so three rounds cover lengths 1, 2 and 3 to 5, each on what the round
    wrongly only costs work, and nothing frequent fails to pass.
 4. The second pass over the texts counts exactly, by language and words, what passes the filter.
 
-The texts are read three times: words, pairs of frequent words, and the exact pass for both, which also cuts out the
-runs of frequent pairs. Longer phrases lie inside such runs, which are few and are merged where equal.
+The texts are read three times: words, pairs of frequent words, and the exact pass for both, which also cuts the
+texts down to the runs of frequent pairs. Longer phrases lie inside such runs, so that the last round reads those.
 
 Cutting, scoring and the containment rule are joins on the table of frequent phrases; products are decimals.
 
@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, drop_stage, ranked, stage, table
+from .common import drop_stage, ranked, stage, table
 
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 #: 0: part of a word, 1: between words, 2: between pieces.
@@ -41,10 +41,8 @@ KIND = np.array([1 if b in b" \t" else 2 if b in b".,;:!?\n\x0b\x0c\r" else 0 fo
 HASH_BYTES, TABLE_BYTES = 1 << 21, 256
 #: Distinct hashes that a task holds before it passes them on.
 HELD = 1 << 21
-#: Occurrences per partition of the summaries, and the largest filter in bits.
-PART_MASS, MAX_BITS = 8_000_000, 1 << 26
-#: Row batches of narrow tables.
-NARROW = 1 << 16
+#: The largest filter in bits.
+MAX_BITS = 1 << 26
 
 
 def _tables(lane: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,11 +144,9 @@ class Tally:
         if len(gram):
             if weight is None:
                 found = pc.value_counts(pa.array(gram.view(np.int64)))
-                t = pa.table({"gram": found.field(0), "weight": found.field(1)})
-            else:
-                t = pa.table({"gram": gram.view(np.int64), "weight": weight})
-            self.parts.append(t)
-            self.rows += t.num_rows
+                gram, weight = found.field(0), found.field(1)
+            self.parts.append(pa.table({"gram": gram, "weight": weight}))
+            self.rows += self.parts[-1].num_rows
 
     def settle(self) -> pa.Table:
         t = pa.concat_tables(self.parts).group_by("gram", use_threads=False).aggregate([("weight", "sum")])
@@ -158,9 +154,22 @@ class Tally:
         self.parts, self.rows = [t], t.num_rows
         return t
 
-    def passed_on(self):
+    def passed_on(self, parts: int):
+        """A row for each of ``parts`` hash partitions: its mass, the leading halves of its hashes and their weights."""
         if self.parts:
-            yield from self.settle().combine_chunks().to_batches(NARROW)
+            t = self.settle()
+            gram, weight = t.column("gram").to_numpy().view(np.uint64), t.column("weight").to_numpy()
+            part = (gram % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            names, begins = np.unique(part[order], return_index=True)
+            half, weight = (gram >> np.uint64(32)).astype("<u4")[order], weight[order].astype("<i8")
+            ends = np.append(begins[1:], len(order)).tolist()
+            for i in range(0, len(names), 256):
+                cuts = list(zip(begins[i:i + 256].tolist(), ends[i:i + 256]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[i:i + 256]), pa.array([int(weight[a:b].sum()) for a, b in cuts], pa.int64()),
+                     pa.array([half[a:b].tobytes() for a, b in cuts], pa.binary()), pa.array([weight[a:b].tobytes() for a, b in cuts], pa.binary())],
+                    ["part", "mass", "grams", "weights"])
         self.parts, self.rows = [], 0
 
 
@@ -185,21 +194,21 @@ def grams(words: Words, lengths, filters, lanes=(0,)):
             yield n, at, *(g[at] for g in gram)
 
 
-def tally_task(lengths, filters):
+TALLY = "part int, mass long, grams binary, weights binary"
+
+
+def tally_task(lengths, filters, parts: int):
     def run(batches):
         tally = Tally()
         known = {n: f.value for n, f in filters.items()}
         for batch in batches:
-            words = batch_words(batch)
-            weight = np.asarray(batch.column("weight"))
-            plain = not len(weight) or weight.max() == 1
-            for _, at, gram in grams(words, lengths, known):
-                tally.add(gram, None if plain else weight[words.doc[at]])
+            for _, _, gram in grams(batch_words(batch), lengths, known):
+                tally.add(gram)
             if tally.rows > 2 * HELD:
                 tally.settle()
                 if tally.rows > HELD:
-                    yield from tally.passed_on()
-        yield from tally.passed_on()
+                    yield from tally.passed_on(parts)
+        yield from tally.passed_on(parts)
 
     return run
 
@@ -213,7 +222,7 @@ class Summary:
 
     def add(self, gram: np.ndarray, weight: np.ndarray) -> None:
         self.tally.add(gram, weight)
-        if self.tally.rows > 2 * self.capacity + NARROW:
+        if self.tally.rows > 2 * self.capacity + HELD // 16:
             self.trim()
 
     def trim(self) -> tuple[np.ndarray, np.ndarray]:
@@ -237,32 +246,30 @@ def summary_task(capacity: int, least: int):
     def run(batches):
         found: dict[int, Summary] = {}
         for batch in batches:
-            part, gram, weight = (np.asarray(batch.column(c)) for c in ("part", "gram", "weight"))
-            order = np.argsort(part, kind="stable")
-            names, begins = np.unique(part[order], return_index=True)
-            for p, rows in zip(names.tolist(), np.split(order, begins[1:])):
-                found.setdefault(p, Summary(capacity)).add(gram[rows], weight[rows])
+            for part, gram, weight in zip(*(batch.column(c).to_pylist() for c in ("part", "grams", "weights"))):
+                found.setdefault(part, Summary(capacity)).add(np.frombuffer(gram, "<u4").astype(np.int64), np.frombuffer(weight, "<i8"))
         for s in found.values():
-            yield pa.RecordBatch.from_arrays([pa.array(s.survivors(least))], ["gram"])
+            yield pa.RecordBatch.from_arrays([pa.array(s.survivors(least))], ["half"])
 
     return run
 
 
+def partitions(spark: SparkSession) -> int:
+    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def survivors(counts: DataFrame, least: int) -> DataFrame:
-    """The hashes of ``counts`` (gram, weight; staged) that may weigh ``least`` in sum, at least all that do."""
-    spark = counts.sparkSession
-    mass = counts.agg(F.sum("weight")).first()[0] or 0
-    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-mass // PART_MASS))
-    dealt = counts.withColumn("part", F.pmod("gram", F.lit(parts)).cast("int"))
-    most = dealt.groupBy("part").agg(F.sum("weight").alias("mass")).agg(F.max("mass")).first()[0] or 0
-    with arrow_rows(spark, NARROW):
-        return stage(dealt.repartition("part").mapInArrow(summary_task(most // least + 1, least), "gram long"), "phrase-survivors")
+    """(half): the leading halves of the hashes in ``counts`` (TALLY; staged) that may weigh ``least`` in sum, at
+    least of all that do. Within a partition a hash is known by its half; those that share it only add candidates."""
+    most = counts.groupBy("part").agg(F.sum("mass").alias("mass")).agg(F.max("mass")).first()[0] or 0
+    rows = counts.select("part", "grams", "weights").repartition("part")
+    return stage(rows.mapInArrow(summary_task(most // least + 1, least), "half long"), "phrase-survivors")
 
 
 def broadcast_filter(found: DataFrame):
-    """A broadcast Filter of the hashes ``found`` (gram; staged): 64 bits for each, and MAX_BITS in all at most."""
+    """A broadcast Filter of the hashes whose halves are ``found`` (staged): 64 bits for each, and MAX_BITS in all at most."""
     bits = min(MAX_BITS.bit_length() - 1, max(16, (64 * found.count()).bit_length()))
-    cells = (found.withColumn("place", F.shiftrightunsigned("gram", 64 - bits))
+    cells = (found.withColumn("place", F.shiftright("half", 32 - bits))
              .select(F.shiftright("place", 5).alias("cell"), F.expr("shiftleft(1L, cast(place & 31 as int))").alias("bit")))
     rows = cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most MAX_BITS / 32 rows
     bitmap = np.zeros((1 << bits) // 32, "<u4")
@@ -270,57 +277,94 @@ def broadcast_filter(found: DataFrame):
     return found.sparkSession.sparkContext.broadcast(Filter(bitmap.view(np.uint8), bits))
 
 
-def distinct(first: np.ndarray, second: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the first occurrence, summed weight) of each pair of hashes."""
+def distinct(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the first occurrence, occurrences) of each pair of hashes."""
     code, names = pd.factorize(first)
     heads = np.zeros(len(names), np.int64)
     heads[code[::-1]] = np.arange(len(code))[::-1]
-    if (second[heads][code] != second).any():  # two phrases share a hash in the first lane
-        pairs, heads, code = np.unique(np.stack([first, second]), axis=1, return_index=True, return_inverse=True)
-        code, names = code.ravel(), heads
-    sums = np.zeros(len(names), np.int64)
-    np.add.at(sums, code, weight)
-    return heads, sums
+    if (second[heads][code] != second).any():  # two phrases share the first hash
+        _, heads, code = np.unique(np.stack([first, second]), axis=1, return_index=True, return_inverse=True)
+    return heads, np.bincount(code.ravel(), minlength=len(heads))
+
+
+class Counted:
+    """Exact counts of a task, by both hashes; a phrase's words are read once."""
+
+    def __init__(self):
+        self.place: dict = {}
+        self.second: list[int] = []
+        self.names: list[tuple[str, int, bytes]] = []
+        self.sums = np.zeros(1 << 12, np.int64)
+
+    def add(self, first: np.ndarray, second: np.ndarray, sums: np.ndarray, name) -> None:
+        for i, (x, y) in enumerate(zip(first.tolist(), second.tolist())):
+            k = self.place.get(x)
+            if k is not None and self.second[k] != y:  # two phrases share the first hash
+                x = (x, y)
+                k = self.place.get(x)
+            if k is None:
+                k = self.place[x] = len(self.names)
+                self.second.append(y)
+                self.names.append(name(i))
+                if k == len(self.sums):
+                    self.sums = np.append(self.sums, np.zeros(k, np.int64))
+            self.sums[k] += sums[i]
+
+    def passed_on(self):
+        for i in range(0, len(self.names), 20_000):
+            part = self.names[i:i + 20_000]
+            yield exact_rows(part, self.sums[i:i + len(part)])
+        self.__init__()
+
+
+def exact_rows(names: list[tuple[str, int, bytes]], counts) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k[0] for k in names], pa.string()), pa.array([k[1] for k in names], pa.int32()),
+         pa.array([k[2] for k in names], pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "n", "phrase", "count"])
+
+
+def runs_of(words: Words, pairs: np.ndarray):
+    """(document, what is left of its text) of the documents that hold chains of three words or more whose pairs all
+    begin at ``pairs``: the chains, a line each."""
+    on = np.zeros(len(words) + 2, bool)
+    on[1 + pairs] = True
+    long = on[1:-1] & (on[:-2] | on[2:])  # pairs that stand beside another one
+    inside = np.flatnonzero(long | np.append(False, long[:-1]))
+    if not len(inside):
+        return
+    size = words.ends[inside] - words.starts[inside] + 1
+    to = np.cumsum(size)
+    out = words.data[np.minimum(np.repeat(words.starts[inside] - (to - size), size) + np.arange(to[-1]), len(words.data) - 1)]
+    out[to - 1] = np.where(long[inside], 32, 10)
+    docs, begins = np.unique(words.doc[inside], return_index=True)
+    at = (to - size)[begins].tolist()
+    for d, a, b in zip(docs.tolist(), at, [*at[1:], int(to[-1])]):
+        yield d, out[a:b].tobytes()
 
 
 def exact_task(lengths, filters, runs: bool):
     """(lang, n, phrase, count) of the phrases that pass. With ``runs``, n = 0 counts a language's words, and n = -1
-    its runs: the longest chains of three words or more whose pairs all pass."""
+    holds what ``runs_of`` leaves of a text."""
 
     def run(batches):
         known = {n: f.value for n, f in filters.items()}
-        counts: Counter = Counter()
-
-        def passed_on():
-            items = list(counts.items())
-            for i in range(0, len(items), 20_000):
-                part = items[i:i + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k, _ in part]), pa.array([k[1] for k, _ in part], pa.int32()),
-                     pa.array([k[2] for k, _ in part], pa.binary()).cast(pa.string()), pa.array([v for _, v in part], pa.int64())],
-                    ["lang", "n", "phrase", "count"])
-            counts.clear()
-
+        counted, totals = Counted(), Counter()
         for batch in batches:
             words = batch_words(batch)
-            weight = np.asarray(batch.column("weight")).astype(np.int64)
-            for n, at, gram, second in grams(words, lengths, known, (0, 1)):
-                heads, sums = distinct(gram, second, weight[words.doc[at]])
-                for i, c in zip(at[heads].tolist(), sums.tolist()):
-                    counts[words.langs[words.doc[i]], n, words.text(i, i + n)] += c
+            for n, at, first, second in grams(words, lengths, known, (0, 1)):
+                heads, sums = distinct(first, second)
+                counted.add(first[heads], second[heads], sums,
+                            lambda i, n=n, at=at[heads]: (words.langs[words.doc[at[i]]], n, words.text(at[i], at[i] + n)))
                 if runs and n == 2:
-                    on = np.zeros(len(words) + 1, bool)
-                    on[at] = True
-                    before = np.append(False, on[:-1])
-                    for a, b in zip(np.flatnonzero(on & ~before).tolist(), np.flatnonzero(~on & before).tolist()):
-                        if b - a > 1:
-                            counts[words.langs[words.doc[a]], -1, words.text(a, b + 1)] += int(weight[words.doc[a]])
+                    left = list(runs_of(words, at))
+                    yield exact_rows([(words.langs[d], -1, t) for d, t in left], [1] * len(left))
             if runs:
-                for i, c in enumerate(np.bincount(words.doc, minlength=batch.num_rows).tolist()):
-                    counts[words.langs[i], 0, b""] += c * int(weight[i])
-            if len(counts) > HELD // 8:
-                yield from passed_on()
-        yield from passed_on()
+                for lang, c in zip(words.langs, np.bincount(words.doc, minlength=batch.num_rows).tolist()):
+                    totals[lang] += c
+            if len(counted.names) > HELD // 2:
+                yield from counted.passed_on()
+        yield from counted.passed_on()
+        yield exact_rows([(lang, 0, b"") for lang in totals], list(totals.values()))
 
     return run
 
@@ -332,28 +376,31 @@ def frequent(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[DataF
     """(lang, n_words, phrase, a) of every phrase of up to ``longest`` words with a >= ``least`` occurrences, and
     (lang, n) with the words of each language. Both staged."""
     spark = docs.sparkSession
-    texts = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"), F.lit(1).cast("long").alias("weight"))
-    filters = {}
-    for n in (1, 2):
-        counts = stage(texts.mapInArrow(tally_task([n], filters), "gram long, weight long"), "phrase-hashes")
+    parts = partitions(spark)
+
+    def passing(texts, lengths, filters):
+        counts = stage(texts.mapInArrow(tally_task(lengths, filters, parts), TALLY), "phrase-hashes")
         found = survivors(counts, least)
         drop_stage(counts)
-        filters = filters | {n: broadcast_filter(found)}
+        out = broadcast_filter(found)
         drop_stage(found)
-    short = stage(texts.mapInArrow(exact_task([1, 2], filters, True), EXACT).groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count")), "short-phrases")
-    runs = short.where("n = -1").select(F.col("phrase").alias("text"), "lang", F.col("count").alias("weight"))
+        return out
+
+    def summed(rows):
+        return rows.groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count")).where(f"n = 0 OR count >= {least}")
+
+    texts = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
+    filters = {}
+    for n in (1, 2):
+        filters = filters | {n: passing(texts, [n], filters)}
+    both = stage(texts.mapInArrow(exact_task([1, 2], filters, True), EXACT), "short-phrases")
+    runs = both.where("n = -1").select(F.col("phrase").alias("text"), "lang")
     lengths = range(3, longest + 1)
-    with arrow_rows(spark, NARROW // 8):
-        counts = stage(runs.mapInArrow(tally_task(lengths, {}), "gram long, weight long"), "phrase-hashes")
-        found = survivors(counts, least)
-        drop_stage(counts)
-        passing = broadcast_filter(found)
-        drop_stage(found)
-        long = stage(runs.mapInArrow(exact_task(lengths, {n: passing for n in lengths}, False), EXACT)
-                     .groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count")).where(F.col("count") >= least), "long-phrases")
-    all_phrases = short.where((F.col("n") > 0) & (F.col("count") >= least)).unionAll(long)
-    return (all_phrases.select("lang", F.col("n").alias("n_words"), "phrase", F.col("count").alias("a")),
-            short.where("n = 0").select("lang", F.col("count").alias("n")))
+    of_runs = passing(runs, lengths, {})
+    found = stage(summed(both.where("n >= 0").unionAll(runs.mapInArrow(exact_task(lengths, {n: of_runs for n in lengths}, False), EXACT))), "phrases")
+    drop_stage(both)
+    return (found.where("n > 0").select("lang", F.col("n").alias("n_words"), "phrase", F.col("count").alias("a")),
+            found.where("n = 0").select("lang", F.col("count").alias("n")))
 
 
 def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
@@ -365,7 +412,11 @@ def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
     left = phrases.select("lang", F.col("phrase").alias("first"), F.col("a").alias("l"))
     right = phrases.select("lang", F.col("phrase").alias("rest"), F.col("a").alias("r"))
     score = F.expr("cast(1000 * cast(a as decimal(16,0)) as decimal(19,0)) * cast(n as decimal(18,0)) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))")
-    each = cut.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(totals, "lang").withColumn("score", score)
+    # A language may hold most phrases, so its total meets them in 64 parts.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(64))
+    totals = totals.withColumn("part", F.explode(F.expr("sequence(0L, 63L)")))
+    each = (cut.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).withColumn("part", part).join(totals, ["lang", "part"])
+            .withColumn("score", score))
     return (each.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("best"))
             .select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score"))
 
