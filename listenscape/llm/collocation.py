@@ -310,17 +310,28 @@ class Counted:
                     self.sums = np.append(self.sums, np.zeros(k, np.int64))
             self.sums[k] += sums[i]
 
-    def passed_on(self):
-        for i in range(0, len(self.names), 20_000):
-            part = self.names[i:i + 20_000]
-            yield exact_rows(part, self.sums[i:i + len(part)])
+    def passed_on(self, parts: int):
+        """A row for each of ``parts`` hash partitions, with its phrases."""
+        first = np.array([x[0] if isinstance(x, tuple) else x for x in self.place], np.uint64)
+        part = (first % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        found, begins = np.unique(part[order], return_index=True)
+        rows = [[(*self.names[i], int(self.sums[i])) for i in at.tolist()] for at in np.split(order, begins[1:])]
+        for i in range(0, len(found), 64):
+            yield exact_rows(found[i:i + 64].tolist(), phrases=rows[i:i + 64])
         self.__init__()
 
 
-def exact_rows(names: list[tuple[str, int, bytes]], counts) -> pa.RecordBatch:
+PHRASE = pa.struct([("lang", pa.string()), ("n", pa.int32()), ("phrase", pa.binary()), ("count", pa.int64())])
+EXACT = "part int, lang string, text string, phrases array<struct<lang:string,n:int,phrase:binary,count:long>>"
+
+
+def exact_rows(parts: list[int], langs=None, texts=None, phrases=None) -> pa.RecordBatch:
+    none = [None] * len(parts)
+    cells = [[dict(zip(("lang", "n", "phrase", "count"), x)) for x in row] for row in phrases] if phrases else none
     return pa.RecordBatch.from_arrays(
-        [pa.array([k[0] for k in names], pa.string()), pa.array([k[1] for k in names], pa.int32()),
-         pa.array([k[2] for k in names], pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "n", "phrase", "count"])
+        [pa.array(parts, pa.int32()), pa.array(langs or none, pa.string()), pa.array(texts or none, pa.binary()).cast(pa.string()),
+         pa.array(cells, pa.list_(PHRASE))], ["part", "lang", "text", "phrases"])
 
 
 def runs_of(words: Words, pairs: np.ndarray):
@@ -342,9 +353,9 @@ def runs_of(words: Words, pairs: np.ndarray):
         yield d, out[a:b].tobytes()
 
 
-def exact_task(lengths, filters, runs: bool):
-    """(lang, n, phrase, count) of the phrases that pass. With ``runs``, n = 0 counts a language's words, and n = -1
-    holds what ``runs_of`` leaves of a text."""
+def exact_task(lengths, filters, runs: bool, parts: int):
+    """Per hash partition, (lang, n, phrase, count) of the phrases that pass. With ``runs``, n = 0 counts a language's
+    words, and rows of partition -1 hold what ``runs_of`` leaves of a text."""
 
     def run(batches):
         known = {n: f.value for n, f in filters.items()}
@@ -357,19 +368,39 @@ def exact_task(lengths, filters, runs: bool):
                             lambda i, n=n, at=at[heads]: (words.langs[words.doc[at[i]]], n, words.text(at[i], at[i] + n)))
                 if runs and n == 2:
                     left = list(runs_of(words, at))
-                    yield exact_rows([(words.langs[d], -1, t) for d, t in left], [1] * len(left))
+                    yield exact_rows([-1] * len(left), [words.langs[d] for d, _ in left], [t for _, t in left])
             if runs:
                 for lang, c in zip(words.langs, np.bincount(words.doc, minlength=batch.num_rows).tolist()):
                     totals[lang] += c
-            if len(counted.names) > HELD // 2:
-                yield from counted.passed_on()
-        yield from counted.passed_on()
-        yield exact_rows([(lang, 0, b"") for lang in totals], list(totals.values()))
+            if len(counted.names) > HELD // 8:
+                yield from counted.passed_on(parts)
+        yield from counted.passed_on(parts)
+        if totals:
+            yield exact_rows([0], phrases=[[(lang, 0, b"", c) for lang, c in totals.items()]])
 
     return run
 
 
-EXACT = "lang string, n int, phrase string, count long"
+def sum_task(least: int):
+    """(lang, n, phrase, count) of the phrases of a task's partitions that occur ``least`` times, and of all n = 0."""
+
+    def run(batches):
+        sums: Counter = Counter()
+        for batch in batches:
+            lists = batch.column("phrases")
+            off, cells = np.asarray(lists.offsets), lists.values
+            lang, n, phrase, count = (cells.field(k).slice(off[0], off[-1] - off[0]).to_pylist() for k in range(4))
+            for key, c in zip(zip(lang, n, phrase), count):
+                sums[key] += c
+        rows = [(k, c) for k, c in sums.items() if c >= least or k[1] == 0]
+        for i in range(0, len(rows), 20_000):
+            part = rows[i:i + 20_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k, _ in part]), pa.array([k[1] for k, _ in part], pa.int32()),
+                 pa.array([k[2] for k, _ in part], pa.binary()).cast(pa.string()), pa.array([c for _, c in part], pa.int64())],
+                ["lang", "n", "phrase", "count"])
+
+    return run
 
 
 def frequent(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -386,18 +417,17 @@ def frequent(docs: DataFrame, least: int = 100, longest: int = 5) -> tuple[DataF
         drop_stage(found)
         return out
 
-    def summed(rows):
-        return rows.groupBy("lang", "n", "phrase").agg(F.sum("count").alias("count")).where(f"n = 0 OR count >= {least}")
-
     texts = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
     filters = {}
     for n in (1, 2):
         filters = filters | {n: passing(texts, [n], filters)}
-    both = stage(texts.mapInArrow(exact_task([1, 2], filters, True), EXACT), "short-phrases")
-    runs = both.where("n = -1").select(F.col("phrase").alias("text"), "lang")
+    both = stage(texts.mapInArrow(exact_task([1, 2], filters, True, parts), EXACT), "short-phrases")
+    runs = both.where("part = -1").select("text", "lang")
     lengths = range(3, longest + 1)
     of_runs = passing(runs, lengths, {})
-    found = stage(summed(both.where("n >= 0").unionAll(runs.mapInArrow(exact_task(lengths, {n: of_runs for n in lengths}, False), EXACT))), "phrases")
+    long = runs.mapInArrow(exact_task(lengths, {n: of_runs for n in lengths}, False, parts), EXACT)
+    found = stage(both.where("part >= 0").unionAll(long).select("part", "phrases").repartition("part")
+                  .mapInArrow(sum_task(least), "lang string, n int, phrase string, count long"), "phrases")
     drop_stage(both)
     return (found.where("n > 0").select("lang", F.col("n").alias("n_words"), "phrase", F.col("count").alias("a")),
             found.where("n = 0").select("lang", F.col("count").alias("n")))
