@@ -90,6 +90,11 @@ def feature_matrix(asm: Assembly, ids: DataFrame | None = None) -> DataFrame:
     return asm.cells_all.join(keep, "gigya_id", "left_semi")
 
 
+def matrix_rows(ids: DataFrame, segments: list[C.SegmentConfig]) -> DataFrame:
+    """(segment, gigya_id): the rows of every segment's matrix, listeners without a cell included."""
+    return ids.select(F.explode(F.array(*[F.lit(s.name) for s in segments])).alias("segment"), "gigya_id")
+
+
 # ---------------------------------------------------------------------------------------------
 # Outlier cut on the total listening time
 

@@ -3,7 +3,7 @@
 It follows FIXTURES.md section 3: two main segments with different daypart maps (B's overlap at
 hour 21), podcast-category groups that exercise the substring rule, a playlist map with a shared
 member, an empty group and a group whose only member is absent, and a template that leaves out
-one live-stream group. Segment C is configured but not main.
+one live-stream group. Segment C is configured but not main; D passes the gate and loses a weight.
 """
 
 from __future__ import annotations
@@ -40,6 +40,9 @@ LIVE = ["Capital_Live_Stream", "RadioX_Live_Stream", "Heart_Live_Stream", "LBC_L
 PREV_PLAYLISTS = ["Capital_Live", "Heart_regional", "RadioX_Live", "LBCNews", "Global-M-Mix3",
                   "Global-M-Mix8", "Global-M-Mix13"]
 
+#: Columns, strong and weak, whose values the keys ``signed_*`` negate: their absent cells do not map to 0.
+SIGNED = ("DAY_WEEKDAY", "ECON_PROMO_Group", "NIGHT_WEEKEND", "DUSK_WEEKEND", "podcast")
+
 
 def _template(dayparts: dict) -> dict[str, list[str]]:
     return {
@@ -52,14 +55,14 @@ def _template(dayparts: dict) -> dict[str, list[str]]:
     }
 
 
-def _segment(name: str, is_main: bool, weights: dict, dayparts: dict) -> SegmentConfig:
+def _segment(name: str, is_main: bool, weights: dict, dayparts: dict, more_groups: dict | None = None) -> SegmentConfig:
     return SegmentConfig(
         name=name,
         is_main=is_main,
         weights=weights,
         dayparts=dict(dayparts),
         category_groups=list(CATEGORY_GROUPS),
-        playlist_map={k: list(v) for k, v in PLAYLIST_MAP.items()},
+        playlist_map={k: list(v) for k, v in (PLAYLIST_MAP | (more_groups or {})).items()},
         live=list(LIVE),
         prev_playlists=list(PREV_PLAYLISTS),
         template=_template(dayparts),
@@ -71,6 +74,8 @@ def demo_config() -> RunConfig:
         _segment("A", True, {"ECON_PROMO_Group": 1.0, "Pop": 0.5, "25-34": 0.5}, DAYPARTS_A),
         _segment("B", True, {"MISSING_Group": 1.0, "Seasonal_playlist": 0.5, "NIGHT_WEEKEND": 0.5}, DAYPARTS_B),
         _segment("C", False, {"SMALL_MED_Group": 1.0}, DAYPARTS_A),
+        # Passes the gate, and loses the weight of a playlist group that nobody plays.
+        _segment("D", True, {"LARGE_Brand#1_Group": 1.0, "Quiet_playlist": 0.5, "DAY_WEEKDAY": 0.5}, DAYPARTS_B, {"Quiet_playlist": ["Silent_Stream"]}),
     ]
     for s in segments:
         s.validate()

@@ -8,13 +8,12 @@
 Materialisation points: the kept listeners' cells are checkpointed (reliable checkpoint in the
 cluster's ``spark.checkpoint.dir``), because statistics, scaling, the gate and the dense rows all
 read them; an executor lost after that point costs only the stages after it. The driver receives
-one-row statistics (quantiles, row count), the column names of each segment and the d x d Gram
-matrices - all bounded by configuration, not by the number of listeners.
+one-row statistics (quantiles, row count) and the chosen vectors of each segment (at most 50 per segment).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,70 +35,58 @@ class RunResult:
     norm: DataFrame              # normalised cells (analytics output)
     gate: DataFrame
     split: DataFrame             # (segment, feature, strong) of segments that pass the gate
-    bases: dict = field(default_factory=dict)
+    bases: DataFrame | None = None   # components of each segment, see reduce.BASIS
     components: DataFrame | None = None
     model_input: DataFrame | None = None
 
 
+def settled(df: DataFrame, checkpoint: bool = True) -> DataFrame:
+    """``df`` in a reliable checkpoint: several plans read it, and none of them carries the plan behind it."""
+    if not checkpoint:
+        return df.cache()
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def prepare(spark: SparkSession, src: Sources, cfg: C.RunConfig, checkpoint: bool = True) -> RunResult:
     asm = matrix.assemble(spark, src, cfg)
     if checkpoint:
         # One materialisation of all facts: everything after it reads the checkpoint files.
-        ensure_checkpoint_dir(spark)
-        asm.cells_all = asm.cells_all.checkpoint()
-        asm.spine = asm.spine.checkpoint()
+        asm.cells_all = settled(asm.cells_all)
+        asm.spine = settled(asm.spine)
         asm.release()
-    catalog = asm.catalog.cache()
-    kept = matrix.outlier_cut(asm.spine).cache()
+    catalog = settled(asm.catalog, checkpoint)
+    kept = settled(matrix.outlier_cut(asm.spine), checkpoint)
     n_kept = kept.count()
     cells = matrix.feature_matrix(asm, kept).cache()
     weights = C.weights(spark, asm.segments).cache()
-    stats = matrix.feature_stats(cells, catalog, n_kept).cache()
-    coef = scaling.coefficients(stats, weights).cache()
-    norm = scaling.minmax_scale(cells, coef)
-    gate = scaling.signal_gate(coef, norm, weights).cache()
-    split = scaling.strong_features(catalog, weights).join(
-        scaling.skipped_segments(gate), "segment", "left_anti"
-    ).cache()
+    stats = settled(matrix.feature_stats(cells, catalog, n_kept), checkpoint)
+    coef = settled(scaling.coefficients(stats, weights), checkpoint)
+    norm = settled(scaling.minmax_scale(cells, coef, matrix.matrix_rows(kept, asm.segments)), checkpoint)
+    gate = settled(scaling.signal_gate(coef, norm, weights), checkpoint)
+    split = settled(scaling.strong_features(catalog, weights).join(
+        scaling.skipped_segments(gate), "segment", "left_anti"), checkpoint)
     return RunResult(asm, kept, n_kept, cells, stats, coef, norm, gate, split)
 
 
-def reduce_segments(spark: SparkSession, res: RunResult) -> RunResult:
+def weak_rows(split: DataFrame, coef: DataFrame, rows: DataFrame, norm: DataFrame, checkpoint: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(columns, sparse rows) of the weak matrices of the segments that pass the gate, see ``reduce``; the Gram pass and
+    the projection read them."""
+    columns = settled(reduce.weak_columns(split, scaling.zero_images(coef)), checkpoint)
+    return columns, settled(reduce.sparse_rows(rows, norm, columns), checkpoint)
+
+
+def reduce_segments(spark: SparkSession, res: RunResult, checkpoint: bool = True) -> RunResult:
     """SVD of every passing segment's weak columns and the model-input cells."""
-    names: dict[str, list[str]] = {}
-    strong: dict[str, list[str]] = {}
-    for r in res.split.collect():
-        (strong if r["strong"] else names).setdefault(r["segment"], []).append(r["feature"])
-    names = {k: sorted(v) for k, v in names.items()}
-    if not names and not strong:
-        empty = spark.createDataFrame([], "segment string, gigya_id string, feature string, value double")
-        res.components, res.model_input = empty, empty
-        return res
-    zeros = {(r["segment"], r["feature"]): r["zero_value"] for r in scaling.zero_images(res.coefficients).join(
-        res.split.where(~F.col("strong")), ["segment", "feature"], "left_semi").collect()}
-    col_rows = [(seg, ns, [float(zeros.get((seg, f), 0.0)) for f in ns]) for seg, ns in names.items()]
-    columns = spark.createDataFrame(col_rows, "segment string, names array<string>, zeros array<double>")
-    weak_cells = res.norm.join(res.split.where(~F.col("strong")), ["segment", "feature"], "left_semi")
-    # read twice (Gram pass and projection): persisted; n_kept x d doubles
-    rows = reduce.dense_rows(spark, res.kept, weak_cells, columns, list(names)).persist()
-    bases = reduce.fit_bases(rows, names)
-    pcs = reduce.project(spark, rows, bases)
-    reduced = pcs.select("segment", "gigya_id", F.concat(F.lit("PC"), F.col("component").cast("string")).alias("feature"),
-                         "value")
-    unreduced_segments = [s for s, b in bases.items() if not b.k]
-    weak_kept = weak_cells.where(F.col("segment").isin(unreduced_segments)) if unreduced_segments else None
-    strong_cells = res.norm.join(res.split.where(F.col("strong")), ["segment", "feature"], "left_semi")
-    out = reduced.unionByName(strong_cells)
-    if weak_kept is not None:
-        out = out.unionByName(weak_kept)
-    res.bases = bases
-    res.components = pcs
-    res.model_input = out
+    columns, rows = weak_rows(res.split, res.coefficients, matrix.matrix_rows(res.kept, res.assembly.segments), res.norm, checkpoint)
+    res.bases = settled(reduce.fit_bases(rows, columns, res.n_kept), checkpoint)
+    res.components = reduce.project(rows, res.bases)
+    res.model_input = reduce.model_input(res.components, res.norm, res.split, res.bases)
     return res
 
 
 def run(spark: SparkSession, src: Sources, cfg: C.RunConfig, checkpoint: bool = True) -> RunResult:
-    return reduce_segments(spark, prepare(spark, src, cfg, checkpoint))
+    return reduce_segments(spark, prepare(spark, src, cfg, checkpoint), checkpoint)
 
 
 def _write(df: DataFrame, path: str, *parts: str) -> None:
@@ -109,7 +96,7 @@ def _write(df: DataFrame, path: str, *parts: str) -> None:
 
 def write_outputs(res: RunResult, base_path: str, run_date: str, version: str) -> None:
     """Model input and analytics matrices partitioned by segment and run date; the gate status
-    and the kept spine alongside. Failures raise (they are not turned into a status string)."""
+    and the kept listeners (the rows of every matrix) alongside. Failures raise (they are not turned into a status string)."""
     tag = {"run_date": run_date, "version": version}
 
     def stamp(df: DataFrame) -> DataFrame:
@@ -120,6 +107,7 @@ def write_outputs(res: RunResult, base_path: str, run_date: str, version: str) -
     _write(stamp(res.model_input), f"{base_path}/model_input", "segment", "run_date", "version")
     _write(stamp(res.norm), f"{base_path}/analytics", "segment", "run_date", "version")
     _write(stamp(res.gate), f"{base_path}/segment_status", "run_date", "version")
+    _write(stamp(res.kept), f"{base_path}/listeners", "run_date", "version")
 
 
 def write_master_facts(spark: SparkSession, src: Sources, base_path: str, run_date: str, version: str,

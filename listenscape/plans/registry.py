@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenscape.operators import channels, facts, labels, matrix, names, regroup, scaling, slots
+from listenscape.operators import channels, facts, labels, matrix, names, reduce, regroup, scaling, slots
 from listenscape.plans import config as C
 from listenscape.plans import pipeline
-from listenscape.plans.demo import demo_config
+from listenscape.plans.demo import SIGNED, demo_config
 from listenscape.sources import files
 from listenscape.sources import testdata
 from listenscape.sources.tables import Sources
@@ -248,7 +250,7 @@ def q_feature_stats(spark, sf_dir):
 
 def q_scale_strong(spark, sf_dir):
     res = _prepared(spark, sf_dir)
-    return _nonzero(scaling.scale_strong(res.cells, res.coefficients))
+    return _nonzero(scaling.scale_strong(res.cells, res.coefficients, matrix.matrix_rows(res.kept, res.assembly.segments)))
 
 
 def q_minmax_scale(spark, sf_dir):
@@ -276,15 +278,76 @@ def q_mean_level(spark, sf_dir):
     return _nonzero(out)
 
 
+def _signed(spark, sf_dir):
+    """(cells, coefficients, matrix rows) of the prepared run with some columns negated."""
+    res = _prepared(spark, sf_dir)
+    value = F.when(F.col("feature").isin(*SIGNED), -F.col("value")).otherwise(F.col("value"))
+    cells = res.cells.withColumn("value", value)
+    stats = matrix.feature_stats(cells, res.assembly.catalog, res.n_kept)
+    coef = pipeline.settled(scaling.coefficients(stats, C.weights(spark, res.assembly.segments)))
+    return cells, coef, matrix.matrix_rows(res.kept, res.assembly.segments)
+
+
+def q_signed_scale_strong(spark, sf_dir):
+    return _nonzero(scaling.scale_strong(*_signed(spark, sf_dir)))
+
+
+def q_signed_minmax_scale(spark, sf_dir):
+    return _nonzero(scaling.minmax_scale(*_signed(spark, sf_dir)))
+
+
+def _weak(spark, sf_dir):
+    """(columns, sparse rows, normalised cells, split, n) of the segments that pass, over the signed cells."""
+    res = _prepared(spark, sf_dir)
+    cells, coef, rows = _signed(spark, sf_dir)
+    norm = pipeline.settled(scaling.minmax_scale(cells, coef, rows))
+    columns, sparse = pipeline.weak_rows(res.split, coef, rows, norm)
+    return columns, sparse, norm, res.split, res.n_kept
+
+
+def q_weak_gram(spark, sf_dir):
+    """Mean products of the weak columns of each passing segment, upper triangle."""
+    columns, rows, _, _, n = _weak(spark, sf_dir)
+
+    def entries(parts, cols):
+        c = cols.sort_values("idx")
+        _, g = reduce.moments(parts, c["zero"].to_numpy(), n)
+        i, j = np.triu_indices(len(c))
+        names = c["feature"].to_numpy()
+        return pd.DataFrame({"segment": c["segment"].iloc[0], "feature_a": names[i], "feature_b": names[j], "value": g[i, j] / n})
+
+    out = reduce.gram(rows).groupBy("segment").cogroup(columns.groupBy("segment")).applyInPandas(
+        entries, "segment string, feature_a string, feature_b string, value double")
+    return out.select("segment", "feature_a", "feature_b", _r("value").alias("value"))
+
+
+def _given_basis(columns):
+    """Three fixed vectors for segment A, by the place of a column; none for the others."""
+    load = (F.pmod(F.col("idx") * 7 + F.col("component") * 3, F.lit(11)) - 5) / 8.0
+    each = columns.where("segment = 'A'").withColumn("component", F.explode(F.array(*[F.lit(k) for k in (1, 2, 3)]))).withColumn("load", load)
+    return each.groupBy("segment", "component").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("idx", "load"))), lambda x: x["load"]).alias("loadings"),
+        F.sum(F.col("load") * F.col("zero")).alias("base")).withColumn("chosen", F.lit(True))
+
+
+def q_component_scores(spark, sf_dir):
+    """Scores on a given basis, scaled to 0..100."""
+    columns, rows, *_ = _weak(spark, sf_dir)
+    return reduce.project(rows, _given_basis(columns)).select("segment", "gigya_id", "component", _r("value").alias("value"))
+
+
+def q_segment_matrix_given(spark, sf_dir):
+    """Model input on a given basis: A is reduced, D keeps its weak columns."""
+    columns, rows, norm, split, _ = _weak(spark, sf_dir)
+    basis = _given_basis(columns)
+    return _nonzero(reduce.model_input(reduce.project(rows, basis), norm, split, basis))
+
+
 def q_reduced_components(spark, sf_dir):
-    res = pipeline.reduce_segments(spark, _prepared(spark, sf_dir))
-    rows = []
-    for seg, b in res.bases.items():
-        cum = 0.0
-        for j, r in enumerate(b.ratios):
-            cum += r
-            rows.append((seg, j + 1, round(r, ROUND), round(cum, ROUND), bool(b.k and j < b.k)))
-    return spark.createDataFrame(rows, "segment string, component int, ratio double, cumulative double, chosen boolean")
+    """Variance ratios of the components. Components of equal ratio may change places, so none but these are shown."""
+    res = _prepared(spark, sf_dir)
+    columns, rows = pipeline.weak_rows(res.split, res.coefficients, matrix.matrix_rows(res.kept, res.assembly.segments), res.norm)
+    return reduce.fit_bases(rows, columns, res.n_kept).select("segment", "component", _r("ratio").alias("ratio"), _r("cumulative").alias("cumulative"), "chosen")
 
 
 def q_segment_matrix(spark, sf_dir):
@@ -418,6 +481,11 @@ QUERIES: dict[str, Query] = {
     "clean_column_names": q_clean_column_names,
     "cluster_label": q_cluster_label,
     "csv_roundtrip": q_csv_roundtrip,
+    "signed_scale_strong": q_signed_scale_strong,
+    "signed_minmax_scale": q_signed_minmax_scale,
+    "weak_gram": q_weak_gram,
+    "component_scores": q_component_scores,
+    "segment_matrix_given": q_segment_matrix_given,
     "reduced_components": q_reduced_components,
     "segment_matrix": q_segment_matrix,
     "channel_duration": q_channel_duration,
