@@ -43,7 +43,8 @@ class Assembly:
         return self.cells_all.select("segment", "feature").unionByName(self.structural).distinct()
 
 
-def assemble(spark: SparkSession, src: Sources, cfg: C.RunConfig) -> Assembly:
+def assemble(spark: SparkSession, src: Sources, cfg: C.RunConfig, learned: DataFrame | None = None) -> Assembly:
+    """``learned``: members that earlier runs appended to playlist groups, see ``regroup.member_groups``."""
     segs = cfg.main_segments()
     w = src.window
     # The stream log is read twice in the whole plan: once for all per-listener aggregates (one
@@ -69,7 +70,7 @@ def assemble(spark: SparkSession, src: Sources, cfg: C.RunConfig) -> Assembly:
 
     blocks = [
         regroup.rewrite(cat, regroup.category_rules(spark, cat, segs)),
-        regroup.rewrite(pl, regroup.playlist_rules(spark, pl, segs)),
+        regroup.rewrite(pl, regroup.playlist_rules(spark, pl, segs, learned)),
         regroup.rewrite(lt, regroup.listen_type_rules(lt, segs)),
         regroup.rewrite(pf, regroup.platform_rules(spark, pf, segs, cfg.default_platform)),
         dp,

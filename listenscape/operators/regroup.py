@@ -141,6 +141,17 @@ def _first_groups(spark: SparkSession, segments: list[C.SegmentConfig]) -> DataF
     return spark.createDataFrame(rows, "segment string, member string, group string, is_live boolean")
 
 
+def member_groups(spark: SparkSession, segments: list[C.SegmentConfig], learned: DataFrame | None = None) -> DataFrame:
+    """``_first_groups`` with the members that earlier runs appended to `Specials` (``learned``: segment, member). A
+    group that the mapping document names goes first. Learned members follow the data, so they get no broadcast hint."""
+    first = _first_groups(spark, segments)
+    if learned is None:
+        return F.broadcast(first)
+    live = [s.name for s in segments if SPECIALS in s.live]
+    more = learned.select("segment", "member").distinct().join(first, ["segment", "member"], "left_anti")
+    return first.unionByName(more.select("segment", "member", F.lit(SPECIALS).alias("group"), F.col("segment").isin(live).alias("is_live")))
+
+
 def _structural_playlist_features(spark: SparkSession, segments: list[C.SegmentConfig]) -> DataFrame:
     """Columns a segment has whatever the data: every group with a non-empty member list, Live
     and Playlist."""
@@ -180,14 +191,15 @@ def residual_target(pre: Column, stage_2: Column, stage_4: Column) -> Column:
     )
 
 
-def playlist_rule_rows(spark: SparkSession, block: DataFrame, segments: list[C.SegmentConfig]) -> DataFrame:
+def playlist_rule_rows(spark: SparkSession, block: DataFrame, segments: list[C.SegmentConfig],
+                       learned: DataFrame | None = None) -> DataFrame:
     """(segment, member, pre, feature) for the members present in the data.
 
     `pre` is the column after grouping and the Live / Playlist totals (a member of a live group
     also counts in Live, of any other group in Playlist; these totals are formed before the
     roll-up, so rolled-up shows are not in them); `feature` is where it lands after the roll-up."""
     vocab = _per_segment(block.select("member").distinct(), segments)
-    first = F.broadcast(_first_groups(spark, segments))
+    first = member_groups(spark, segments, learned)
     v = vocab.join(first, ["segment", "member"], "left")
     empty = F.array().cast("array<string>")
     pres = F.concat(
@@ -216,8 +228,9 @@ def structural_catalog(spark: SparkSession, segments: list[C.SegmentConfig]) ->
     return _roll_up(spark, pre, segments).select("segment", "feature").distinct()
 
 
-def playlist_rules(spark: SparkSession, block: DataFrame, segments: list[C.SegmentConfig]) -> DataFrame:
-    return playlist_rule_rows(spark, block, segments).select("segment", "member", "feature")
+def playlist_rules(spark: SparkSession, block: DataFrame, segments: list[C.SegmentConfig],
+                   learned: DataFrame | None = None) -> DataFrame:
+    return playlist_rule_rows(spark, block, segments, learned).select("segment", "member", "feature")
 
 
 def live_playlist_totals(spark: SparkSession, playlist_duration: DataFrame,
@@ -232,14 +245,16 @@ def live_playlist_totals(spark: SparkSession, playlist_duration: DataFrame,
     )
 
 
-def new_members(spark: SparkSession, playlist_duration: DataFrame, segments: list[C.SegmentConfig]) -> DataFrame:
+def new_members(spark: SparkSession, playlist_duration: DataFrame, segments: list[C.SegmentConfig],
+                prev: DataFrame | None = None, learned: DataFrame | None = None) -> DataFrame:
     """Map evolution report: playlists in this run's data that the previous run did not list, and
     whether the roll-up appends them to `Specials` (a `-M-` name outside the template)."""
     block = playlist_block(playlist_duration)
     vocab = _per_segment(block.select("member").distinct(), segments)
-    prev = F.broadcast(C.previous_playlists(spark, segments))
+    if prev is None:
+        prev = F.broadcast(C.previous_playlists(spark, segments))
     fresh = vocab.join(prev, ["segment", "member"], "left_anti")
-    rows = playlist_rule_rows(spark, block, segments)
+    rows = playlist_rule_rows(spark, block, segments, learned)
     specials = (
         rows.where((F.col("feature") == SPECIALS) & (F.col("pre") != SPECIALS))
         .select("segment", "member", F.lit(True).alias("to_specials"))

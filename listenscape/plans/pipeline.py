@@ -48,8 +48,8 @@ def settled(df: DataFrame, checkpoint: bool = True) -> DataFrame:
     return df.checkpoint()
 
 
-def prepare(spark: SparkSession, src: Sources, cfg: C.RunConfig, checkpoint: bool = True) -> RunResult:
-    asm = matrix.assemble(spark, src, cfg)
+def prepare(spark: SparkSession, src: Sources, cfg: C.RunConfig, checkpoint: bool = True, learned: DataFrame | None = None) -> RunResult:
+    asm = matrix.assemble(spark, src, cfg, learned)
     if checkpoint:
         # One materialisation of all facts: everything after it reads the checkpoint files.
         asm.cells_all = settled(asm.cells_all)
@@ -85,8 +85,8 @@ def reduce_segments(spark: SparkSession, res: RunResult, checkpoint: bool = True
     return res
 
 
-def run(spark: SparkSession, src: Sources, cfg: C.RunConfig, checkpoint: bool = True) -> RunResult:
-    return reduce_segments(spark, prepare(spark, src, cfg, checkpoint), checkpoint)
+def run(spark: SparkSession, src: Sources, cfg: C.RunConfig, checkpoint: bool = True, learned: DataFrame | None = None) -> RunResult:
+    return reduce_segments(spark, prepare(spark, src, cfg, checkpoint, learned), checkpoint)
 
 
 def _write(df: DataFrame, path: str, *parts: str) -> None:

@@ -6,6 +6,8 @@ the matching DuckDB statement in ``listenscape.checks.oracle``. Times are epoch
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -15,8 +17,9 @@ from pyspark.sql import functions as F
 
 from listenscape.operators import channels, facts, labels, matrix, names, reduce, regroup, scaling, slots
 from listenscape.plans import config as C
-from listenscape.plans import pipeline
+from listenscape.plans import pipeline, state
 from listenscape.plans.demo import SIGNED, demo_config
+from listenscape.session import ensure_checkpoint_dir
 from listenscape.sources import files
 from listenscape.sources import testdata
 from listenscape.sources.tables import Sources
@@ -195,6 +198,17 @@ def q_new_members(spark, sf_dir):
     return regroup.new_members(spark, _playlist(s), _segs())
 
 
+def q_mapping_delta(spark, sf_dir):
+    """What two weekly runs append to `Specials`: the second reads the first one's committed state."""
+    store = state.StateStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/state-{uuid.uuid4().hex}")
+    for run_date in ("2024-01-22", "2024-01-29"):
+        cfg = dataclasses.replace(demo_config(), run_date=run_date)
+        before = store.before(run_date)
+        tables = state.evolve(spark, _playlist(testdata.bind(spark, sf_dir, run_date)), state.with_state(cfg, before), before)
+        store.commit(run_date, cfg.version, tables | {"segment_status": before["segment_status"]})
+    return store.before("2024-01-30")["mapping_delta"].withColumnRenamed("group", "grp")
+
+
 def q_platform_fold(spark, sf_dir):
     s = _src(spark, sf_dir)
     block = regroup.platform_block(facts.platform_duration(s.streams, s.window))
@@ -459,6 +473,7 @@ QUERIES: dict[str, Query] = {
     "live_playlist_totals": q_live_playlist_totals,
     "residual_rollup": q_residual_rollup,
     "new_members": q_new_members,
+    "mapping_delta": q_mapping_delta,
     "platform_fold": q_platform_fold,
     "newsflash_fold": q_newsflash_fold,
     "feature_matrix": q_feature_matrix,
