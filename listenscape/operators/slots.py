@@ -6,6 +6,8 @@ join) -> interval join with the schedule on (brand, hour bucket) -> playlist / s
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +88,38 @@ def _hour_bucket(ts) -> F.Column:
     return F.floor(F.unix_timestamp(ts) / BUCKET_SECONDS)
 
 
+def _last_bucket(window: RunWindow) -> int:
+    """The first hour after the day behind the window. Few slots begin later, those of very long sessions."""
+    days = (window.end - dt.date(1970, 1, 1)).days + 2
+    return days * 86400 // BUCKET_SECONDS
+
+
+def slot_bucket(ts: F.Column, window: RunWindow) -> F.Column:
+    """The bucket of a slot start: its hour, or beyond the last hour one bucket per weekday."""
+    last = _last_bucket(window)
+    return F.when(_hour_bucket(ts) < last, _hour_bucket(ts)).otherwise(F.lit(last) + F.dayofweek(ts))
+
+
+def show_buckets(start: F.Column, end: F.Column, window: RunWindow) -> F.Column:
+    """The buckets in which a show can meet a slot: the hours it covers on its own weekday, up to the last one, and
+    its weekday's bucket beyond. An open-ended show has at most five days of hours and one more."""
+    last = _last_bucket(window)
+    hours = F.filter(F.sequence(_hour_bucket(start), F.least(_hour_bucket(end), F.lit(last - 1))),
+                     lambda h: F.dayofweek(F.timestamp_seconds(h * BUCKET_SECONDS)) == F.dayofweek(start))
+    beyond = F.when(_hour_bucket(end) >= last, F.array((F.lit(last) + F.dayofweek(start)).cast("bigint")))
+    return F.when(end >= start, F.concat(hours, F.coalesce(beyond, F.array().cast("array<bigint>"))))
+
+
+def bucketed_shows(stream_map: DataFrame, schedule: DataFrame, window: RunWindow) -> DataFrame:
+    """(brand, show_start, show_end, show_long_name, bucket) of the shows whose brand some stream carries. The
+    semi-join comes first, so that only these are made distinct and expanded."""
+    carried = stream_map.select(X.stream_brand("playlist_pruned", "channel", "playlist").alias("brand")).where("brand IS NOT NULL").distinct()
+    own = schedule.withColumn("brand", X.station_brand("fqsn")).join(carried, "brand", "left_semi").drop("brand")
+    return schedule_brand(own, window).select(
+        "brand", "show_start", "show_end", "show_long_name",
+        F.explode(show_buckets(F.col("show_start"), F.col("show_end"), window)).alias("bucket"))
+
+
 def show_match(streams: DataFrame, stream_map: DataFrame, schedule: DataFrame, window: RunWindow,
                half_open: bool = False) -> DataFrame:
     """Interval join of slot groups with the shows of their brand.
@@ -94,25 +128,19 @@ def show_match(streams: DataFrame, stream_map: DataFrame, schedule: DataFrame, w
     inclusive, so a slot on a boundary between two shows matches both unless ``half_open``) and
     the slot starts on the same weekday the show started. Unmatched slots keep NULL show columns.
 
-    Physical plan: each show is expanded into the hour buckets it covers and the join is an
+    Physical plan: each show is expanded into the buckets it can meet slots in and the join is an
     equi-join on (brand, bucket of the slot start) with the exact range as a residual. A slot
     meets each show in exactly one bucket, so no duplicates arise, and the probe work per slot is
     bounded by the shows of its brand in one hour rather than in four weeks. The schedule side is
     small (shows x hours) and AQE broadcasts it when its measured size is under the threshold;
-    otherwise the join stays a shuffled hash / sort-merge join on (brand, bucket).
+    otherwise the join stays a shuffled hash / sort-merge join on (brand, bucket), whose slot side (the
+    outer one) AQE splits where a brand has most of the slots of an hour.
     """
-    return _matched(slot_brand(streams, stream_map, window), schedule, window, half_open)
+    return _matched(slot_brand(streams, stream_map, window), bucketed_shows(stream_map, schedule, window), window, half_open)
 
 
-def _matched(slots: DataFrame, schedule: DataFrame, window: RunWindow, half_open: bool) -> DataFrame:
-    slots = slots.withColumn("bucket", _hour_bucket(F.col("slot_start")))
-    shows = schedule_brand(schedule, window).select(
-        "brand",
-        F.col("show_start"),
-        F.col("show_end"),
-        "show_long_name",
-        F.explode(F.sequence(_hour_bucket(F.col("show_start")), _hour_bucket(F.col("show_end")))).alias("bucket"),
-    )
+def _matched(slots: DataFrame, shows: DataFrame, window: RunWindow, half_open: bool) -> DataFrame:
+    slots = slots.withColumn("bucket", slot_bucket(F.col("slot_start"), window))
     upper = (F.col("slot_start") < F.col("show_end")) if half_open else (F.col("slot_start") <= F.col("show_end"))
     cond = (
         (F.col("brand_name") == F.col("brand"))
@@ -137,7 +165,7 @@ def playlist_duration(streams: DataFrame, stream_map: DataFrame, schedule: DataF
     The sum is additive, so the slots are not summed by themselves first: where the two dimensions
     are broadcast, the partial sums by (id, playlist) are the only exchange on the slot side."""
     slots = listening_slots(streams, window).withColumnRenamed("slot_seconds", "seconds")
-    m = _matched(_branded(slots, stream_map), schedule, window, half_open)
+    m = _matched(_branded(slots, stream_map), bucketed_shows(stream_map, schedule, window), window, half_open)
     playlist = F.when(F.col("tag") == 0, F.col("playlists")).otherwise(
         F.concat(X.part("playlists", "_", 1), F.lit("_"), F.col("show_long_name"))
     )

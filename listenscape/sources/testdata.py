@@ -66,7 +66,8 @@ def streams(spark: SparkSession, sf_dir: str, window: RunWindow | None = None) -
         .otherwise(F.concat(F.lit("g"), _s(F.col("user_id"))))
         .alias("gigya_id"),
         (F.col("user_id") * 2 + eid % 2).alias("listener_id"),
-        F.concat(F.lit("S"), _s(eid % 27)).alias("stream_name"),
+        # A third of the streams belongs to the stations of the later orders; both grow with the tables.
+        F.when(eid % 3 == 0, F.concat(F.lit("T"), _s(F.floor(eid / 900) + 1))).otherwise(F.concat(F.lit("S"), _s(eid % 27))).alias("stream_name"),
         F.col("event_type").alias("platform"),
         duration.alias("duration"),
         start.alias("request_start"),
@@ -119,12 +120,18 @@ def stream_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     pruned = pruned.when(k == 3, F.concat(F.lit("Global-M-Mix"), _s(n))).otherwise("LBCNews")
     channel = F.when(k == 0, "Capital").when(k == 1, "Heart").when(k == 2, "RadioX").when(k == 3, "Global")
     channel = channel.otherwise("LBC")
-    return nat.select(
+    fixed = nat.select(
         F.concat(F.lit("S"), _s(n)).alias("stream_name"),
         pruned.alias("playlist_pruned"),
         F.when(k == 1, "regional").otherwise(F.concat(F.lit("P"), _s(n))).alias("playlist"),
         channel.alias("channel"),
     )
+    # A stream for every station that the later orders make, so that their shows can be matched too.
+    station = F.floor(F.col("o_orderkey") / 1392)
+    own = _table(spark, sf_dir, "orders").where(F.col("o_orderkey") >= 1392).select(_s(station).alias("k")).distinct()
+    return fixed.unionByName(own.select(
+        F.concat(F.lit("T"), "k").alias("stream_name"), F.concat(F.lit("Station"), "k", F.lit("_Live")).alias("playlist_pruned"),
+        F.concat(F.lit("Q"), "k").alias("playlist"), F.lit("Station").alias("channel")))
 
 
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,6 +98,43 @@ def test_interval_join_boundaries(spark):
     assert pl == {"Capital_A": 600, "Capital_B": 300, "Capital_Live": 600}
 
 
+def test_open_ended_shows_meet_every_slot_of_their_weekday_in_few_buckets(spark):
+    show = [(1, "Global:Capital:UK", _ts("2024-01-10 10:30:00"), _ts("9999-12-31 00:00:00"), "Open"),
+            (2, "Global:Capital:UK", _ts("2024-01-28 23:00:00"), _ts("2024-02-20 00:00:00"), "Long")]
+    sched = spark.createDataFrame(show, schemas.SCHEDULE)
+    smap = spark.createDataFrame([("S0", "Capital_Live", "P0", "Capital")], schemas.STREAM_MAP)
+    buckets = slots.bucketed_shows(smap, sched, W).groupBy("show_long_name").count().collect()
+    assert {r["show_long_name"]: r["count"] for r in buckets} == {"Open": 14 + 24 + 24 + 1, "Long": 1 + 1}
+    day = 86400
+    rows = [(_ts("2024-01-10 10:20:00"), 300, _ts("2024-01-10 10:25:00")),   # before it begins
+            (_ts("2024-01-17 03:00:00"), 300, _ts("2024-01-17 03:05:00")),   # a week later
+            (_ts("2024-01-18 03:00:00"), 300, _ts("2024-01-18 03:05:00")),   # another weekday
+            (_ts("2024-01-28 12:00:00"), 12 * day, _ts("2024-02-09 12:00:00"))]  # goes on far behind the window
+    st = _streams(spark, rows)
+    got = slots.show_match(st, smap, sched, W).collect()
+    for r in got:
+        t = r["slot_start"]
+        want = ["Open"] if t.isoweekday() == 3 and t >= _ts("2024-01-10 10:30:00") else []
+        want += ["Long"] if t.isoweekday() == 7 and t >= _ts("2024-01-28 23:00:00") else []
+        assert (r["show_long_name"] or "") in (want or [""]), t
+    assert sum(r["show_long_name"] == "Open" for r in got) == 1 + 2 * 144
+    assert sum(r["show_long_name"] == "Long" for r in got) == 6 + 144
+
+
+def test_shows_of_later_orders_match_slots(spark):
+    t = testdata.bind(spark, "/root/testdata/sf0.01")
+    shows = slots.bucketed_shows(t.stream_map, t.schedule, W)
+    own = slots.show_match(t.streams, t.stream_map, t.schedule, W).where("brand_name LIKE 'Station%' AND tag = 1")
+    assert shows.where("brand LIKE 'Station%'").select("brand").distinct().count() == 10
+    assert own.select("brand_name").distinct().count() >= 8
+
+
+def test_schedule_is_cut_to_carried_brands_before_it_is_expanded(spark):
+    t = testdata.bind(spark, "/root/testdata/sf0.001")
+    plan = slots.bucketed_shows(t.stream_map, t.schedule, W)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("LeftSemi")  # from the top down: the explode stands above
+
+
 def test_playlist_seconds_need_one_exchange_by_listener(spark):
     t = testdata.bind(spark, "/root/testdata/sf0.001")
     plan = slots.playlist_duration(t.streams, t.stream_map, t.schedule, W)._jdf.queryExecution().executedPlan().toString()
