@@ -177,3 +177,13 @@ def pivot(cells: DataFrame, values: list[str], agg: str = "sum") -> DataFrame:
     fn = {"sum": F.sum, "max": F.max, "first": F.first}[agg]
     wide = cells.groupBy("gigya_id").pivot("feature", values).agg(fn("value"))
     return wide.fillna(0.0, subset=values)
+
+
+def pivot_all(cells: DataFrame, values: list[str], other: str = "other") -> DataFrame:
+    """(segment, gigya_id, feature, value) -> one row per segment and id, a column per listed value and one for the sum of
+    all others (NULL features too), missing -> 0. The columns of a row add up to its cells."""
+    if other in values:
+        raise ValueError(f"{other!r} is a listed value; name the rest otherwise")
+    named = cells.withColumn("feature", F.when(F.col("feature").isin(values), F.col("feature")).otherwise(F.lit(other)))
+    wide = named.groupBy("segment", "gigya_id").pivot("feature", [*values, other]).agg(F.sum("value"))
+    return wide.fillna(0.0, subset=[*values, other])

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listenscape.operators import matrix, reduce, regroup, scaling
+from listenscape.operators import facts, matrix, reduce, scaling, slots
 from listenscape.plans import config as C
 from listenscape.session import ensure_checkpoint_dir
 from listenscape.sources.tables import Sources
@@ -110,28 +110,30 @@ def write_outputs(res: RunResult, base_path: str, run_date: str, version: str) -
     _write(stamp(res.kept), f"{base_path}/listeners", "run_date", "version")
 
 
-def write_master_facts(spark: SparkSession, src: Sources, base_path: str, run_date: str, version: str,
-                       segments: list[C.SegmentConfig]) -> None:
-    """The seven weekly facts in one long table (fact, gigya_id, key, value), partitioned by run
-    date, version and fact."""
-    from listenscape.operators import facts, slots
-
+def master_facts(src: Sources) -> DataFrame:
+    """(fact, gigya_id, key, value): the seven weekly facts as one table, every row of them: unknown keys (NULL, `u`) and
+    listeners without plays (NULL value) included. The facts on streams share one rollup of the log, which is
+    persisted; only the slots read the log itself."""
     w = src.window
-    long = [
-        ("total_duration", facts.total_duration(src.streams, src.consent, w).select(
-            "gigya_id", F.lit(None).cast("string").alias("key"), F.col("total_listen_time").cast("double").alias("value"))),
-        ("podcast_duration", regroup.category_block(
-            facts.category_weighted(src.streams, src.on_demand, src.episode_category, w))),
-        ("playlist_duration", regroup.playlist_block(
-            slots.playlist_duration(src.streams, src.stream_map, src.schedule, w))),
-        ("listentype_duration", regroup.listen_type_block(facts.listen_type_weighted(src.streams, src.on_demand, w))),
-        ("platform_duration", regroup.platform_block(facts.platform_duration(src.streams, w))),
-        ("age_duration", regroup.flag_block(facts.age_band(src.demographics, w), "age_band")),
-        ("gender_duration", regroup.flag_block(facts.gender_flag(src.demographics, w), "gender")),
-    ]
+    roll = facts.stream_rollup(src.streams, w).persist()
+    long = {
+        "total_duration": facts.total_duration(src.streams, src.consent, w, roll).select("gigya_id", F.lit(None).cast("string"), "total_listen_time"),
+        "podcast_duration": facts.category_weighted(src.streams, src.on_demand, src.episode_category, w, roll),
+        "playlist_duration": slots.playlist_duration(src.streams, src.stream_map, src.schedule, w),
+        "listentype_duration": facts.listen_type_weighted(src.streams, src.on_demand, w, roll),
+        "platform_duration": facts.platform_duration(src.streams, w, roll),
+        "age_duration": facts.age_band(src.demographics, w),
+        "gender_duration": facts.gender_flag(src.demographics, w),
+    }
     out = None
-    for name, df in long:
-        df = df.select("gigya_id", F.col(df.columns[1]).alias("key"), "value").withColumn("fact", F.lit(name))
-        out = df if out is None else out.unionByName(df)
-    out = out.withColumn("run_date", F.lit(run_date)).withColumn("version", F.lit(version))
+    for name, df in long.items():
+        part = df.toDF("gigya_id", "key", "value").select(F.lit(name).alias("fact"), "gigya_id", "key", F.col("value").cast("double").alias("value"))
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+def write_master_facts(spark: SparkSession, src: Sources, base_path: str, run_date: str, version: str,
+                       segments: list[C.SegmentConfig]) -> None:
+    """``master_facts`` partitioned by run date, version and fact."""
+    out = master_facts(src).withColumn("run_date", F.lit(run_date)).withColumn("version", F.lit(version))
     _write(out, f"{base_path}/master_facts", "run_date", "version", "fact")

@@ -209,6 +209,10 @@ def q_mapping_delta(spark, sf_dir):
     return store.before("2024-01-30")["mapping_delta"].withColumnRenamed("group", "grp")
 
 
+def q_master_long(spark, sf_dir):
+    return pipeline.master_facts(_src(spark, sf_dir))
+
+
 def q_platform_fold(spark, sf_dir):
     s = _src(spark, sf_dir)
     block = regroup.platform_block(facts.platform_duration(s.streams, s.window))
@@ -376,6 +380,19 @@ def _segment_a(block_rules: DataFrame) -> DataFrame:
     return block_rules.where(F.col("segment") == "A").drop("segment")
 
 
+def _stage_values(stage: str) -> list[str]:
+    """The names that the templates of the main segments list in a stage."""
+    return list(dict.fromkeys(v for seg in _segs() for v in seg.template[stage]))
+
+
+def q_category_pivot(spark, sf_dir):
+    return matrix.pivot_all(q_regroup_features(spark, sf_dir), _stage_values("stage_1"))
+
+
+def q_playlist_pivot(spark, sf_dir):
+    return matrix.pivot_all(q_residual_rollup(spark, sf_dir), _stage_values("stage_2"))
+
+
 def q_platform_pivot(spark, sf_dir):
     cfg = demo_config()
     seg = cfg.main_segments()[0]
@@ -474,6 +491,7 @@ QUERIES: dict[str, Query] = {
     "residual_rollup": q_residual_rollup,
     "new_members": q_new_members,
     "mapping_delta": q_mapping_delta,
+    "master_long": q_master_long,
     "platform_fold": q_platform_fold,
     "newsflash_fold": q_newsflash_fold,
     "feature_matrix": q_feature_matrix,
@@ -487,6 +505,8 @@ QUERIES: dict[str, Query] = {
     "signal_gate": q_signal_gate,
     "spike_suppress": q_spike_suppress,
     "mean_level": q_mean_level,
+    "category_pivot": q_category_pivot,
+    "playlist_pivot": q_playlist_pivot,
     "platform_pivot": q_platform_pivot,
     "listen_type_pivot": q_listen_type_pivot,
     "daypart_pivot": q_daypart_pivot,

@@ -112,3 +112,11 @@ def test_matrix_rows_hold_every_listener(spark):
     ids = spark.createDataFrame([("g1",), ("g2",)], "gigya_id string")
     rows = matrix.matrix_rows(ids, demo_config().main_segments()).collect()
     assert {tuple(r) for r in rows} == {(s, g) for s in "ABD" for g in ("g1", "g2")}
+
+
+def test_pivot_columns_add_up_to_the_cells(spark):
+    cells = spark.createDataFrame([("A", "g1", "x", 2.0), ("A", "g1", "tail", 3.0), ("A", "g1", None, 4.0), ("B", "g1", "y", 5.0)], CELL)
+    got = {r.segment: (r.x, r.y, r.other) for r in matrix.pivot_all(cells, ["x", "y"]).collect()}
+    assert got == {"A": (2.0, 0.0, 7.0), "B": (0.0, 5.0, 0.0)}
+    with pytest.raises(ValueError):
+        matrix.pivot_all(cells, ["x", "other"])

@@ -25,3 +25,8 @@ def test_write_outputs_and_master_facts(spark, tmp_path):
     got = {r["fact"] for r in facts.select("fact").distinct().collect()}
     assert got == {"total_duration", "podcast_duration", "playlist_duration", "listentype_duration",
                    "platform_duration", "age_duration", "gender_duration"}
+    null_keys = {r["fact"] for r in facts.where("key IS NULL").select("fact").distinct().collect()}
+    assert {"total_duration", "podcast_duration", "listentype_duration"} <= null_keys
+    assert facts.where("fact = 'age_duration' AND key = 'u'").count() and facts.where("fact = 'gender_duration' AND key = 'u'").count()
+    kept = spark.read.parquet(f"{base}/listeners")
+    assert kept.where(kept.run_date == cfg.run_date).count() == res.n_kept
