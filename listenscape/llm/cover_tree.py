@@ -20,7 +20,9 @@ Work on m blocks that no bound separates (random directions in many dimensions)
 is the nature of an exact search. Driver and broadcast data: the centres (at most ``max_cells``).
 
 Cases: null or zero vectors, and vectors with a null or non-finite component link with nothing; others
-link with vectors of their own length only, and each length has its own cells and trees. Equal vectors link. Rows sharing a vec_id keep a row each. Empty tables give empty
+link with vectors of their own length only, and each length has its own cells and trees. Equal vectors link. Rows sharing a vec_id keep a row each;
+different vectors under one id are one node of the graph where that id is the smallest of their equal vectors, so that
+their links are added up and they share a component. Empty tables give empty
 results. Extra columns and labels are ignored.
 """
 

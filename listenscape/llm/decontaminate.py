@@ -6,8 +6,9 @@ a pattern; each document is normalised and scanned once. Matches are mapped back
 of the original text.
 
 Cases: null and empty texts have no words, no hit and an empty item list. Items without words give no
-pattern. Repeated items and windows count once per item_id. An empty benchmark hits nothing. Extra
-columns are ignored; a repeated document row gives a row each.
+pattern. Repeated items and windows count once per item_id; an item without an id hits words like any other
+but stands in no list of items. An empty benchmark hits nothing. Extra columns are ignored; a repeated
+document row gives a row each.
 
 Bounds: the patterns travel in a broadcast variable of at most ``block_bytes`` of pattern text. A larger
 benchmark is cut into blocks of items, one automaton and one pass each; blocks run in a driver loop
@@ -140,7 +141,9 @@ def block_patterns(block: DataFrame, window: int) -> dict[bytes, list]:
     patterns: dict[bytes, set] = {}
     for r in block.toLocalIterator():
         for w in windows_of(words_of(bytes(r.text)), window):
-            patterns.setdefault(w, set()).add(r.item_id)
+            items = patterns.setdefault(w, set())
+            if r.item_id is not None:
+                items.add(r.item_id)
     return {w: sorted(s) for w, s in patterns.items()}
 
 
@@ -167,10 +170,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: i
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, spans=False)
+    """The digest of ``hits``, with the hit ranges of the original text (characters) in ``spans``."""
+    found = hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "spans")
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import DOCUMENT_COLUMNS, drop_stage, stage, table
+from .common import DOCUMENT_COLUMNS, drop_stage, in_order, stage, table
 
 BINS = 1 << 14
 PLACE_BITS = 28
@@ -160,10 +160,24 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, the place of each row by doc_id and text. The driver sees a count for each range."""
+    rows = in_order(docs, [F.col("doc_id"), F.md5("text")], "line-rows").withColumn("_range", F.shiftright("_id", 33))
+    ranges = rows.groupBy("_range").count().orderBy("_range").collect()
+    base, at = [], 0
+    for r in ranges:
+        base += [F.lit(r["_range"]), F.lit(at)]
+        at += r["count"]
+    before = F.create_map(*base)[F.col("_range")] if base else F.lit(0)
+    return rows.withColumn("_row", (before + F.col("_id") - F.shiftleft("_range", 33)).cast("long")).drop("_id", "_range")
+
+
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with the remaining lines; those that had words and keep none of their lines go."""
-    done = dedup(docs.select("doc_id", "text")).withColumnRenamed("text", "left_text")
-    return (docs.select(*DOCUMENT_COLUMNS).join(done, "doc_id", "left")
+    """Documents with the remaining lines; those that had words and keep none of their lines go. Each row is a
+    document of its own: rows that share a doc_id, or have none, are ordered by their texts."""
+    docs = _numbered(docs.select(*DOCUMENT_COLUMNS))
+    done = dedup(docs.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), F.col("text").alias("left_text"), "n_lines", "n_kept")
+    return (docs.join(done, "_row", "left")
             .where("n_lines IS NULL OR n_lines = 0 OR n_kept > 0")
             .withColumn("n_chars", F.when(F.col("n_kept") < F.col("n_lines"), F.length("left_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
             .withColumn("text", F.coalesce("left_text", "text"))

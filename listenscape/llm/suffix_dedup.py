@@ -18,7 +18,7 @@ start earlier: in a smaller doc_id, or in the same document further left. Each b
 4. Repeated starts return to their shard, which removes the bytes.
 
 Cases: null texts are empty. Texts shorter than ``length`` keep all bytes. Rows that share a doc_id are
-ordered by text, the earlier row counts as earlier. An empty table gives no rows. Extra columns are ignored.
+ordered by text, the earlier row counts as earlier. Rows without a doc_id stand before all others, as if they shared one. An empty table gives no rows. Extra columns are ignored.
 Memory: a shard of text, a bucket's runs and one piece; buckets and shards grow in number with the input.
 Between the steps, tables lie in the shared scratch folder.
 """
@@ -73,8 +73,11 @@ class Shard:
     """The texts of a shard in order of place, as one byte array."""
 
     def __init__(self, rows: pa.Table):
-        pairs = sorted(zip(rows.column("doc_id").to_pylist(), (t or b"" for t in rows.column("text").cast(pa.binary()).to_pylist())))
+        ids = rows.column("doc_id").to_pylist()
+        texts = (t or b"" for t in rows.column("text").cast(pa.binary()).to_pylist())
+        pairs = sorted(((-1 << 63, t, True) if i is None else (i, t, False)) for i, t in zip(ids, texts))
         self.ids = np.array([p[0] for p in pairs], np.int64)
+        self.unnamed = np.array([p[2] for p in pairs], bool)
         self.data = np.frombuffer(b"".join(p[1] for p in pairs), np.uint8)
         self.ends = np.cumsum([len(p[1]) for p in pairs], dtype=np.int64)
         self.begins = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
@@ -367,7 +370,7 @@ def remove(length: int, texts: bool):
             spans = int(g[:1].sum()) + int((g[1:] & ~g[:-1]).sum())
             out.append((b - a, int(g.sum()), spans, hashlib.sha256(kept).hexdigest(), kept if texts else None))
         n, m, s, h, k = zip(*out) if out else ([],) * 5
-        cols = {"doc_id": pa.array(shard.ids), "n_bytes": pa.array(n, pa.int64()), "n_removed": pa.array(m, pa.int64()),
+        cols = {"doc_id": pa.array(shard.ids, mask=shard.unnamed), "n_bytes": pa.array(n, pa.int64()), "n_removed": pa.array(m, pa.int64()),
                 "n_spans": pa.array(s, pa.int64()), "kept_sha256": pa.array(h, pa.string())}
         return pa.table(cols | ({"kept": pa.array(k, pa.binary())} if texts else {}))
 

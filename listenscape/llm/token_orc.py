@@ -6,8 +6,9 @@ integer columns use ORC's run-length encoding, stripes carry row indexes (min /
 and row groups from metadata, and a scan reads stripes in parallel. ``read_offsets`` reads the files
 back and places every document in the stream of all ids.
 
-Cases: a null or empty text gives only the end id. Repeated rows and repeated ids keep one row each
-(ties in ``doc_id`` are ordered by their ids). An empty table gives no row. Extra columns are ignored.
+Cases: a null or empty text gives only the end id. Repeated rows and repeated ids keep one row each; rows
+that share a ``doc_id`` are written by the checksum of their ids, then by their number, and placed so. Rows
+without a ``doc_id`` come first. An empty table gives no row. Extra columns are ignored.
 A text is encoded at ASCII spaces and line ends, each piece once per worker; white space belongs to no
 token of this vocabulary, so the ids equal those of the whole text.
 """
@@ -95,7 +96,8 @@ def encoder(tokenizer_path: str, end_id: int):
             rows = cache[key].encode(batch.column("text").to_pylist(), end_id)
             offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
+            crc = pa.array([zlib.crc32(r) for r in rows], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, crc], ["doc_id", "ids", "ids_crc32"])
 
     return run
 
@@ -106,8 +108,9 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 1, file
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     files = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(slim) // file_bytes))
     (slim.repartitionByRange(files, "doc_id")
-     .mapInArrow(encoder(tokenizer_path, end_id), "doc_id long, ids array<int>")
-     .sortWithinPartitions("doc_id", "ids")
+     .mapInArrow(encoder(tokenizer_path, end_id), "doc_id long, ids array<int>, ids_crc32 long")
+     .sortWithinPartitions("doc_id", "ids_crc32", F.size("ids"))
+     .select("doc_id", "ids")
      .write.mode("overwrite")
      .option("compression", "zstd")
      .option("orc.stripe.size", str(stripe_bytes))
@@ -134,7 +137,7 @@ def read_offsets(spark: SparkSession, path: str) -> DataFrame:
     Offsets need two levels only: ids per file (one row per file, ordered by the file's first id),
     and a running sum inside each file. No task sees more than one file's documents.
     """
-    rows = (spark.read.orc(path).withColumn("file", F.input_file_name())
+    rows = (spark.read.schema("doc_id long, ids array<int>").orc(path).withColumn("file", F.input_file_name())
             .mapInArrow(checksums, "doc_id long, file string, n_tokens long, ids_crc32 long"))
     rows = stage(rows, "token-rows")  # the ids are read once, and two aggregates use the rows
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))

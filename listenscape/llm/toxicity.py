@@ -22,6 +22,8 @@ word as it stands is usual in documents that are not toxic (at most 5,000 such w
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
 import re
 
@@ -418,7 +420,7 @@ def fit(docs: DataFrame, labelled: DataFrame, train_rows: int = 20_000) -> dict:
 
 
 def _score_rows(docs: DataFrame, keep: list[str], model: dict, raw: bool = False) -> DataFrame:
-    key = str(hash((model["const"], len(model["weights"]), str(model["step"])[:200])))
+    key = hashlib.sha256(json.dumps(model, sort_keys=True).encode()).hexdigest()
 
     def run(batches):
         cache = worker_cache()

@@ -274,7 +274,9 @@ def test_op8_equals_brute_force(spark, sf_dir, docs):
                     hit |= set(range(k, k + n))
                     items |= windows[x]
         want[i] = (len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit))
-    assert run(spark, sf_dir, "op8_decontaminate") == want
+    got = run(spark, sf_dir, "op8_decontaminate")
+    assert {i: r[:5] for i, r in got.items()} == want
+    assert all(sum(len(words(docs[i][s.start:s.end])) for s in r[5]) == r[1] for i, r in got.items())
 
 
 def test_op8_spans_and_blocks(spark):
@@ -339,6 +341,47 @@ def test_empty_tables(spark, odd_docs, sf_dir, tmp_path):
     assert line_dedup.dedup(none).count() == 0
     assert cover_tree.link_groups(vectors).count() == 0
     token_orc.write(none, str(tmp_path / "orc"), public_tokenizers.path("word_bpe_49k.json"))
+    assert token_orc.read_offsets(spark, str(tmp_path / "orc")).count() == 0
+    bench = common.table(spark, sf_dir, "benchmark")
+    assert decontaminate.hits(none, bench).count() == 0
+    assert decontaminate.hits(odd_docs, bench.limit(0)).where("n_hit > 0 OR size(items) > 0").count() == 0
+    assert sample_pieces.sample(none, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert toxicity.score(none, toxicity.fit(none, none.join(labels, "doc_id"))).count() == 0
+    assert quality.score(none, quality.fit(none, labels), ["doc_id"]).count() == 0
+    assert line_dedup.pipeline_stage(spark, none, sf_dir).count() == 0
+
+
+def test_rows_without_id_and_rows_that_share_one(spark, sf_dir, tmp_path):
+    """Operators 1, 5, 7, 8 and 10: null keys, and different rows under one key."""
+    a, b, c = ("".join(f"{w}{i} " for i in range(30)) for w in ("apple", "berry", "cherry"))
+    rows = [(None, a), (3, a), (1, a + b), (1, c), (1, "x"), (1, "yy"), (1, None), (None, "short")]
+    odd = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    one = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup.dedup(odd).collect())
+    shared = len(a.encode())
+    assert one == Counter([(None, shared, 0), (None, 5, 0), (3, shared, shared), (1, len((a + b).encode()), shared),
+                           (1, len(c.encode()), 0), (1, 1, 0), (1, 2, 0), (1, 0, 0)])
+
+    five = Counter((r.doc_id, r.text) for r in line_dedup.pipeline_stage(spark, odd, sf_dir).collect())
+    assert five == Counter([(None, a), (None, "short"), (1, a + b), (1, c), (1, "x"), (1, "yy"), (1, None)])
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    token_orc.write(odd, str(tmp_path / "orc"), path)
+    files = sorted((tmp_path / "orc").glob("*.orc"))
+    ids = [(r.doc_id, r.ids) for f in files for r in spark.read.orc(str(f)).coalesce(1).collect()]
+    want, at = Counter(), 0
+    for i, x in ids:
+        want[(i, at, len(x), zlib.crc32(np.array(x, "<u4").tobytes()))] += 1
+        at += len(x)
+    assert len(ids) == len(rows) and Counter(map(tuple, token_orc.read_offsets(spark, str(tmp_path / "orc")).collect())) == want
+
+    bench = spark.createDataFrame([(None, "apple1 apple2 apple3"), (9, "cherry4 cherry5 cherry6")], "item_id long, text string")
+    eight = Counter((r.doc_id, r.n_hit, tuple(r["items"])) for r in decontaminate.hits(odd, bench, window=3).collect())
+    assert eight == Counter([(None, 3, ()), (3, 3, ()), (1, 3, ()), (1, 3, ("9",)), (1, 0, ()), (1, 0, ()), (1, 0, ()), (None, 0, ())])
+
+    vectors = [(7, [1.0, 0.0]), (7, [0.0, 1.0]), (8, [1.0, 0.01]), (9, [-1.0, 0.0])]
+    ten = Counter((r.vec_id, r.n_links, r.component_id) for r in cover_tree.link_groups(spark.createDataFrame(vectors, "vec_id long, embedding array<double>")).collect())
+    assert ten == Counter([(7, 1, 7), (7, 1, 7), (8, 1, 7), (9, 0, 9)])
 
 
 def test_pipeline(spark, sf_dir):
