@@ -100,10 +100,11 @@ def matches(classes: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     prefix = _let(F.sort_array(F.array_distinct(key)), lambda s: F.transform(
         F.slice(s, F.lit(1), F.size(s) - F.ceil(F.size(s) * percent / F.lit(100)).cast("int") + 1),
         lambda t: F.struct(t.alias("token"), F.size(s).alias("n"))))
-    posts = stage(classes.select("ord", F.posexplode(prefix).alias("i", "post")).select("post.token", "ord", "post.n", "i"), "line-prefixes")
-    first = posts.groupBy("token").agg(F.min("ord").alias("a"), F.count("*").alias("posters")).where("posters > 1")
+    # One shuffle serves the count and the join: both sides read all its columns, so that the exchange is reused.
+    posts = classes.select("ord", F.posexplode(prefix).alias("i", "post")).select("post.token", "ord", "post.n", "i").repartition("token")
+    first = (posts.groupBy("token").agg(F.min(F.struct("ord", "n", "i")).alias("first"), F.count("*").alias("posters"))
+             .where("posters > 1").select("token", F.col("first.ord").alias("a"), "posters"))
     shared = stage(posts.join(first.hint("shuffle_hash"), "token").select("token", "ord", "n", "i", "a", "posters"), "line-posts")
-    drop_stage(posts)
 
     wanted = shared.select("ord").distinct()
     known = stage(classes.join(wanted, "ord", "left_semi").select("ord", F.array_distinct(_tokens(width)).alias("set")), "line-sets")
@@ -119,7 +120,10 @@ def matches(classes: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
              .where((100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
                     & (F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) + F.least("x.i", "y.i") >= least))
              .select(F.col("x.ord").alias("a"), F.col("y.ord").alias("b")).distinct())
-    return found.unionAll(_verified(pairs, known, percent)).distinct()
+    late = stage(_verified(pairs, known, percent), "line-late")
+    drop_stage(shared)
+    drop_stage(known)
+    return found.unionAll(late).distinct()
 
 
 def _verified(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
