@@ -113,7 +113,3 @@ def weekpart(ts: str | Column) -> Column:
     """WEEKEND for Saturday and Sunday, WEEKDAY otherwise (dayofweek: 1 = Sunday, 7 = Saturday)."""
     d = F.dayofweek(col(ts))
     return F.when(d.isin(1, 7), F.lit("WEEKEND")).otherwise(F.lit("WEEKDAY"))
-
-
-def epoch_seconds(ts: str | Column) -> Column:
-    return F.unix_timestamp(col(ts))

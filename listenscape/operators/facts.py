@@ -143,6 +143,28 @@ def platform_duration(streams: DataFrame, window: RunWindow, rollup: DataFrame |
 # On-demand facts
 
 
+#: Left rows of one listener that a join task takes; a listener with more is dealt over several.
+ROWS_PER_TASK = 1 << 17
+
+
+def fan_out(left: DataFrame, right: DataFrame, key: str = "listener_id", rows: int = ROWS_PER_TASK) -> DataFrame:
+    """``left`` joined (left outer) to the rows of ``right`` with the same key, where one key may hold a large share of
+    both sides. Keys with more than ``rows`` left rows are measured; their left rows are dealt over several salts and
+    their right rows repeated for each. Left rows without a key match nothing and are dealt by their own hash.
+
+    The table of such keys is broadcast: it has fewer than (left rows / ``rows``) rows of two numbers.
+    """
+    others = [c for c in left.columns if c != key]
+    # The maximum keeps all columns in the plan, so that the count reads the same exchange as the join.
+    heavy = (left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.max(F.struct(*others)).alias("_any"))
+             .where((F.col("_n") > rows) & F.col("_any").isNotNull()).select(key, F.ceil(F.col("_n") / rows).cast("int").alias("_salts")))
+    place = F.xxhash64(*others)
+    dealt = left.join(F.broadcast(heavy), key, "left").withColumn(
+        "_salt", F.when(F.col(key).isNull(), F.pmod(place, F.lit(1 << 16))).otherwise(F.pmod(place, F.coalesce("_salts", F.lit(1)))).cast("int"))
+    copies = right.join(F.broadcast(heavy), key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+    return dealt.drop("_salts").join(copies.drop("_salts"), [key, "_salt"], "left").drop("_salt")
+
+
 def _streams_per_listener(streams: DataFrame, window: RunWindow, rollup: DataFrame | None = None) -> DataFrame:
     """(gigya_id, listener_id, n_streams): the stream side of the fan-out joins, pre-counted."""
     return _stream_level(streams, window, rollup, "listener").select("gigya_id", "listener_id", "n_streams")
@@ -177,7 +199,7 @@ def category_weighted(streams: DataFrame, on_demand: DataFrame, episode_category
     """
     per_listener = _streams_per_listener(streams, window, rollup)
     freq = category_freq(on_demand, episode_category, window)
-    joined = per_listener.join(freq, "listener_id", "left")
+    joined = fan_out(per_listener, freq)
     return joined.groupBy("gigya_id", "category").agg(
         F.sum(F.col("n_streams") * F.col("listen_freq")).alias("listen_duration")
     )
@@ -196,7 +218,7 @@ def listen_type_weighted(streams: DataFrame, on_demand: DataFrame, window: RunWi
                          rollup: DataFrame | None = None) -> DataFrame:
     per_listener = _streams_per_listener(streams, window, rollup)
     freq = listen_type_freq(on_demand, window)
-    joined = per_listener.join(freq, "listener_id", "left")
+    joined = fan_out(per_listener, freq)
     return joined.groupBy("gigya_id", "aod_type").agg(
         F.sum(F.col("n_streams") * F.col("listen_freq")).alias("total_listen_time")
     )

@@ -17,6 +17,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from listenscape.sources import files
+
 STAGES = ("stage_1", "stage_2", "stage_3", "stage_4", "stage_5", "stage_6")
 
 
@@ -31,7 +33,6 @@ class SegmentConfig:
     live: list[str] = field(default_factory=list)
     prev_playlists: list[str] = field(default_factory=list)
     template: dict[str, list[str]] = field(default_factory=dict)
-    extra_member_maps: list[dict[str, list[str]]] = field(default_factory=list)
 
     def validate(self) -> None:
         for name, hours in self.dayparts.items():
@@ -61,54 +62,46 @@ class RunConfig:
 # Loading the documents
 
 
-def _load_json(path: str):
-    with open(path, encoding="utf-8") as fh:
-        text = fh.read()
+def _parse(path: str, text: str):
     try:
         return json.loads(text)
     except json.JSONDecodeError as exc:
         raise ValueError(f"invalid mapping document {path}: {exc}") from exc
 
 
-def _find(folder: str, stem: str) -> str | None:
-    """Mapping file name, matched without regard to the letter case of the extension."""
-    if not os.path.isdir(folder):
-        return None
-    for entry in sorted(os.listdir(folder)):
-        base, ext = os.path.splitext(entry)
-        if base == stem and ext.lower() == ".json":
-            return os.path.join(folder, entry)
-    return None
-
-
-def load_run_config(control_path: str, mapping_root: str, default_platform: str = "Web") -> RunConfig:
-    """Read a control document and the per-segment mapping folders `<root>/<SEG>/...`.
+def load_run_config(control_path: str, mapping_root: str, default_platform: str = "Web", spark: SparkSession | None = None) -> RunConfig:
+    """Read a control document and the per-segment mapping folders `<root>/<SEG>/...` through Spark's file
+    sources, so that both may lie on any file system that Spark reads.
 
-    A segment without a playlist map gets an empty one; IAB maps, which have the playlist-map
-    shape, are kept as additional member maps. Every document is validated on load.
+    A document is known by its segment folder and its name, the extension in any case. A segment without
+    a playlist map gets an empty one; documents of other names are passed over. Each document read is validated.
     """
-    control = _load_json(control_path)
+    spark = spark or SparkSession.builder.getOrCreate()
+    (control_text,) = files.read_mapping_documents(spark, control_path).values()
+    control = _parse(control_path, control_text)
+    found = {}
+    for path, text in sorted(files.read_mapping_documents(spark, mapping_root).items()):
+        *_, folder, name = ("/" + path).split("/")
+        stem, ext = os.path.splitext(name)
+        if ext.lower() == ".json":
+            found.setdefault((folder, stem), (path, text))
+
+    def document(folder: str, stem: str) -> dict:
+        return _parse(*found[folder, stem]) if (folder, stem) in found else {}
+
     segments = []
     for name, seg in control["segment"].items():
-        folder = os.path.join(mapping_root, name)
-        daypart_path = _find(folder, f"daypart_{name}")
-        category_path = _find(folder, f"podcast_category_map_{name}")
-        playlist_path = _find(folder, f"playlist_group_map_{name}")
-        template_path = _find(folder, f"{name}_template")
-        iab_path = _find(folder, f"iab_map_{name}")
-        playlist = _load_json(playlist_path) if playlist_path else {"map": {}, "live": [], "prev_playlists": []}
-        extra = [_load_json(iab_path)] if iab_path else []
+        playlist = document(name, f"playlist_group_map_{name}")
         cfg = SegmentConfig(
             name=name,
             is_main=bool(seg.get("is_main", False)),
             weights=dict(seg.get("weight_dict", {})),
-            dayparts={k: tuple(v) for k, v in (_load_json(daypart_path) if daypart_path else {}).items()},
-            category_groups=list((_load_json(category_path) if category_path else {}).keys()),
+            dayparts={k: tuple(v) for k, v in document(name, f"daypart_{name}").items()},
+            category_groups=list(document(name, f"podcast_category_map_{name}")),
             playlist_map=dict(playlist.get("map", {})),
             live=list(playlist.get("live", [])),
             prev_playlists=list(playlist.get("prev_playlists", [])),
-            template=dict(_load_json(template_path)) if template_path else {},
-            extra_member_maps=extra,
+            template=document(name, f"{name}_template"),
         )
         cfg.validate()
         segments.append(cfg)
@@ -160,20 +153,6 @@ def category_group_names(spark: SparkSession, segments: list[SegmentConfig]) ->
     return _df(spark, rows, "segment string, group string, group_pos int")
 
 
-def playlist_members(spark: SparkSession, segments: list[SegmentConfig]) -> DataFrame:
-    """(segment, group, group_pos, member, member_pos, is_live) of the playlist groups."""
-    rows = []
-    for seg in segments:
-        live = set(seg.live)
-        for gpos, (group, members) in enumerate(seg.playlist_map.items()):
-            for mpos, member in enumerate(members):
-                rows.append((seg.name, group, gpos, member, mpos, group in live))
-    return _df(
-        spark, rows,
-        "segment string, group string, group_pos int, member string, member_pos int, is_live boolean",
-    )
-
-
 def playlist_groups(spark: SparkSession, segments: list[SegmentConfig]) -> DataFrame:
     """(segment, group, group_pos, n_members, is_live) for every group of the map."""
     rows = []

@@ -81,3 +81,10 @@ def demo_config() -> RunConfig:
         s.validate()
     # The bindings use event types as platforms, so the fold target is one of them.
     return RunConfig(segments=segments, run_date=TEST_RUN_DATE, version="test", default_platform="view")
+
+
+#: The channel and listen type columns that `channel_listen_type` keeps apart; all others are summed.
+CHANNEL_LISTEN_TYPES = [
+    "Global_podcast", "Radio X_catchup", "Radio X_podcast", "Capital XTRA_podcast", "Heart 70s BRAZIL_podcast",
+    "Capital DANCE EGYPT_catchup", "FRANCE_podcast", "SAUDI_catchup", "UNITED_newsflash",
+]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from listenscape.operators import channels, facts, labels, matrix, names, reduce, regroup, scaling, slots
 from listenscape.plans import config as C
 from listenscape.plans import pipeline, state
-from listenscape.plans.demo import SIGNED, demo_config
+from listenscape.plans.demo import CHANNEL_LISTEN_TYPES, SIGNED, demo_config
 from listenscape.session import ensure_checkpoint_dir
 from listenscape.sources import files
 from listenscape.sources import testdata
@@ -45,7 +45,7 @@ def q_scan_streams(spark, sf_dir):
 
 def q_scan_on_demand(spark, sf_dir):
     s = _src(spark, sf_dir)
-    return facts.scan_on_demand(s.on_demand, s.window)
+    return facts.scan_on_demand(s.on_demand, s.window).select("listener_id", "episode_id", "aod_type", "p_listen_date")
 
 
 def q_valid_ids(spark, sf_dir):
@@ -240,8 +240,9 @@ def q_drop_top_listener(spark, sf_dir):
 def q_listen_quantiles(spark, sf_dir):
     s = _src(spark, sf_dir)
     spine = facts.total_duration(s.streams, s.consent, s.window)
-    q1, q3 = matrix.listen_quantiles(spine)
-    return spark.createDataFrame([(q1, q3, q3 + 1.5 * (q3 - q1))], "q1 double, q3 double, upper double").select(
+    q1, q3 = matrix.listen_quantiles(spine)  # none of a single listener, who is the top one
+    upper = None if q1 is None else q3 + 1.5 * (q3 - q1)
+    return spark.createDataFrame([(q1, q3, upper)], "q1 double, q3 double, upper double").select(
         _r("q1").alias("q1"), _r("q3").alias("q3"), _r("upper").alias("upper"))
 
 
@@ -460,6 +461,11 @@ def q_channel_duration(spark, sf_dir):
     return channels.channel_duration(s.streams, s.stream_map, s.window)
 
 
+def q_channel_listen_type(spark, sf_dir):
+    s = _src(spark, sf_dir)
+    return channels.channel_listen_type(s.streams, s.on_demand, s.extra["channels"], s.window, CHANNEL_LISTEN_TYPES)
+
+
 def q_channel_playlist(spark, sf_dir):
     s = _src(spark, sf_dir)
     return channels.channel_playlist(spark, regroup.playlist_block(_playlist(s)), _segs())
@@ -524,5 +530,6 @@ QUERIES: dict[str, Query] = {
     "reduced_components": q_reduced_components,
     "segment_matrix": q_segment_matrix,
     "channel_duration": q_channel_duration,
+    "channel_listen_type": q_channel_listen_type,
     "channel_playlist": q_channel_playlist,
 }

@@ -23,6 +23,7 @@ ON_DEMAND = T.StructType(
         T.StructField("episode_id", T.LongType()),
         T.StructField("aod_type", T.StringType()),
         T.StructField("p_listen_date", T.DateType()),
+        T.StructField("channel_id", T.LongType()),
     ]
 )
 

@@ -24,14 +24,6 @@ FIXED_SCHEDULE_FQSN = [
     "Global:Heart:80s",
     "Global:Capital:Reloaded",
 ]
-FIXED_STREAM_MAP = [
-    # n_nationkey % 5 -> (playlist_pruned prefix, channel)
-    ("Capital_Live", "Capital"),
-    ("Heart_regional", "Heart"),
-    ("RadioX_Live", "RadioX"),
-    ("Global-M-Mix", "Global"),
-    ("LBCNews", "LBC"),
-]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,6 +79,8 @@ def on_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((flag == "R") & (status == "O"), "newsflash")
         .alias("aod_type"),
         F.date_add(F.lit(FIXED_DAY0).cast("date"), (F.col("l_orderkey") % 35).cast("int")).alias("p_listen_date"),
+        # Channels 25 to 28 have no name; some plays have no channel.
+        F.when(F.col("l_linenumber") < 7, F.col("l_suppkey") % 29).cast("bigint").alias("channel_id"),
     )
 
 
@@ -180,9 +174,14 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Channel dimension for the disabled channel blocks: one row per nation, ids 0..24."""
+    """Channel dimension for the channel blocks: one row per nation, ids 0..24, with names of every kind."""
     nat = _table(spark, sf_dir, "nation")
-    return nat.select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"))
+    kind, name = F.col("n_nationkey") % 8, F.col("n_name")
+    return nat.select(
+        F.col("n_nationkey").cast("bigint").alias("id"),
+        F.when(kind == 0, F.concat(F.lit("Radio X "), name)).when(kind == 1, F.concat(F.lit("Capital XTRA "), name))
+        .when(kind == 2, F.concat(F.lit("Heart 70s "), name)).when(kind == 3, F.concat(F.lit("Test "), name))
+        .when(kind == 4, F.concat(F.lit("Capital DANCE "), name)).when(kind == 5, F.concat(name, F.lit(" FM"))).otherwise(name).alias("name"))
 
 
 def bind(spark: SparkSession, sf_dir: str, run_date: str = TEST_RUN_DATE) -> Sources:
