@@ -86,3 +86,19 @@ def test_quantiles_of_a_single_listener(spark, monkeypatch):
     one = spark.createDataFrame([("g1", 5)], "gigya_id string, total_listen_time long")
     monkeypatch.setattr(facts, "total_duration", lambda *a, **k: one)
     assert tuple(registry.q_listen_quantiles(spark, "/root/testdata/sf0.001").first()) == (None, None, None)
+
+
+def test_brand_rules_of_the_oracle_equal_the_expression(spark):
+    import duckdb
+
+    from listenscape.checks import oracle
+    from listenscape.functions import expressions as X
+
+    names = [f"{net}:{st}:{sub}" for net in ("Global", "Communicorp", "") for st in ("LBC", "Heart_North", "Radio_X", "Radio_X_Heart", "Capital", "")
+             for sub in ("UK", "National", "LBC", "News", "Reloaded", "80s", "Chill", "East", "")] + ["Global", "Communicorp:LBC", "", None]
+    want = {r.fqsn: r.brand for r in spark.createDataFrame([(n,) for n in names], "fqsn string").select("fqsn", X.station_brand().alias("brand")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE schedule AS SELECT 1 AS show_id, unnest($1) AS fqsn, TIMESTAMP '2024-01-05' AS show_start, "
+                "TIMESTAMP '2024-01-05 01:00:00' AS show_end, 'x' AS show_long_name", [names])
+    got = dict(con.execute(f"WITH {oracle.CTE_SCHEDULE} SELECT fqsn, brand FROM shows").fetchall())
+    assert {k: (got[k], want[k]) for k in want if got[k] != want[k]} == {}
