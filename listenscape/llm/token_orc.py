@@ -75,14 +75,14 @@ class WordIds:
         rows = [(t.lower() if t.isascii() else t).replace("\n", " ").split(" ") if t else [] for t in texts]
         met = set().union(*rows)
         missing = met.difference(self.codes)
-        known = self.codes.__getitem__
+        # The batch's own words in a small table: a look-up there is many times cheaper than in the whole cache.
+        own = dict(zip(had := list(met - missing), map(self.codes.__getitem__, had)))
         if missing:
             if len(self.codes) > CACHE_WORDS // 2:
-                self.often.update([(w, self.codes[w]) for w in met - missing])
-            found = self.codes
+                self.often.update(own)
             self.learn(missing)
-            if self.codes is not found:  # the cache was changed: what it held is still of use here
-                known = {**{w: found[w] for w in met - missing}, **self.codes}.__getitem__
+            own.update(zip(new := list(missing), map(self.codes.__getitem__, new)))
+        known = own.__getitem__
         return [b"".join(map(known, words)) + end for words in rows]
 
 
