@@ -42,6 +42,12 @@ class RunWindow:
             F.to_timestamp(F.lit(f"{self.end_iso} 00:00:00")),
         )
 
+    def days(self, column: str | Column) -> Column:
+        """The days whose rows can lie in the window, one more at each end: a day folder may follow another time zone."""
+        c = F.col(column) if isinstance(column, str) else column
+        day = dt.timedelta(days=1)
+        return c.between(F.lit(self.start - day), F.lit(self.end + day))
+
     def dates(self, column: str | Column) -> Column:
         """Inclusive BETWEEN on a date column: both end days count whole."""
         c = F.col(column) if isinstance(column, str) else column
