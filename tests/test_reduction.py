@@ -98,6 +98,64 @@ def test_components_and_scores_equal_numpy(weak, monkeypatch):
     assert all(r.lo == pytest.approx(0, abs=1e-9) and r.hi == pytest.approx(100) for r in scaled)
 
 
+@pytest.mark.parametrize("buckets", [64, 1])
+def test_gram_of_many_columns_holds_few_products(weak, monkeypatch, buckets):
+    out, cols, sparse = weak
+    monkeypatch.setattr(reduce, "PAIRS", 13)  # no dense triangle, many slices
+    monkeypatch.setattr(reduce, "BUCKETS", buckets)
+    parts = reduce.gram(sparse).toPandas()
+    for seg, (x, zero) in out.items():
+        np.testing.assert_allclose(reduce.moments(parts[parts.segment == seg], zero, len(x))[1], x.T @ x)
+    got = {(r.segment, r.feature_a, r.feature_b): r.value for r in reduce.mean_products(sparse, cols, 60).collect()}
+    assert len(got) == 12 * 13 // 2 + 4 * 5 // 2
+    for seg, (x, _) in out.items():
+        for i in range(x.shape[1]):
+            for j in range(i, x.shape[1]):
+                assert got[seg, f"c{i:02d}", f"c{j:02d}"] == pytest.approx(x[:, i] @ x[:, j] / 60)
+
+
+def test_no_task_holds_a_matrix_as_wide_as_its_columns():
+    """Rows of two million columns: a dense block of ten rows has 160 MB, a dense triangle 32 TB."""
+    import tracemalloc
+
+    import pyarrow as pa
+    d = 2_000_000
+    cells = [[{"idx": k * 1000 + j * 7, "dev": 1.0 + j} for j in range(20)] for k in range(10)]
+    batch = pa.RecordBatch.from_pydict({"segment": pa.array(["W"] * 10), "gigya_id": pa.array([f"g{k}" for k in range(10)]), "d": pa.array([d] * 10, pa.int32()),
+                                        "s": pa.array(cells, pa.list_(pa.struct([("idx", pa.int32()), ("dev", pa.float64())])))})
+    vectors = {"W": (np.ones((1, d)), np.zeros(1))}
+    tracemalloc.start()
+    scores = list(reduce._score_task(vectors)([batch]))
+    entries = sum(len(b.column("j").values) for b in reduce._gram_task([batch]) if b.column("i")[0].as_py() >= 0)
+    assert tracemalloc.get_traced_memory()[1] < 120 << 20
+    tracemalloc.stop()
+    assert scores[0].column("scores").to_pylist() == [[float(sum(range(1, 21)))]] * 10
+    assert entries == 10 * 20 * 21 // 2
+
+
+def test_wide_segments_get_the_components_of_the_dense_way(weak):
+    _, cols, sparse = weak
+    dense = reduce.fit_bases(sparse, cols, 60, ladder=(2, 4, 11), target=0.9).where("chosen").orderBy("segment", "component").collect()
+    wide = reduce.choose_bases(sparse, cols, 60, ladder=(2, 4, 11), target=0.9, dense=1).orderBy("segment", "component").collect()
+    assert [(r.segment, r.component, r.chosen) for r in wide] == [(r.segment, r.component, r.chosen) for r in dense] and dense
+    for a, b in zip(wide, dense):
+        np.testing.assert_allclose([a.ratio, a.cumulative, a.base, *a.loadings], [b.ratio, b.cumulative, b.base, *b.loadings], atol=1e-6)
+
+
+def test_the_bound_is_never_below_what_components_explain(spark, weak):
+    out, cols, sparse = weak
+    bound = reduce.explained_bound(sparse, cols, 60, ladder=(2, 3))
+    for seg, (x, _) in out.items():
+        eig = np.linalg.eigvalsh(np.cov(x.T, bias=True))[::-1]
+        assert bound[seg] >= eig[:3].sum() / eig.sum()
+    # 400 columns of one listener each: ten components explain a fortieth, which the bound tells without them.
+    cols = spark.createDataFrame([("U", f"c{j:03d}", j, 400, 0.0) for j in range(400)], "segment string, feature string, idx int, d int, zero double")
+    rows = spark.createDataFrame([("U", f"g{i}") for i in range(400)], "segment string, gigya_id string")
+    sparse = reduce.sparse_rows(rows, spark.createDataFrame([("U", f"g{i}", f"c{i:03d}", 100.0) for i in range(400)], CELL), cols)
+    assert reduce.explained_bound(sparse, cols, 400)["U"] == pytest.approx(50 / 399, rel=1e-6)
+    assert reduce.choose_bases(sparse, cols, 400, dense=10).count() == 0
+
+
 def test_a_segment_without_any_cell_has_no_variance(spark):
     cols = spark.createDataFrame([("E", "a", 0, 2, 0.0), ("E", "b", 1, 2, 0.0)], "segment string, feature string, idx int, d int, zero double")
     rows = spark.createDataFrame([("E", "g1"), ("E", "g2")], "segment string, gigya_id string")
