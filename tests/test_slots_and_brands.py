@@ -135,6 +135,14 @@ def test_schedule_is_cut_to_carried_brands_before_it_is_expanded(spark):
     assert plan.index("Generate explode") < plan.index("LeftSemi")  # from the top down: the explode stands above
 
 
+def test_names_are_derived_once_per_station_and_stream(spark):
+    t = testdata.bind(spark, "/root/testdata/sf0.001")
+    lines = slots.bucketed_shows(t.stream_map, t.schedule, W)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    rules = [k for k, line in enumerate(lines) if "Communicorp," in line or "= Communicorp" in line]
+    distinct = next(k for k, line in enumerate(lines) if "Aggregate [fqsn" in line)
+    assert rules and max(rules) <= distinct  # above the distinct names, on none of the schedule's rows
+
+
 def test_playlist_seconds_need_one_exchange_by_listener(spark):
     t = testdata.bind(spark, "/root/testdata/sf0.001")
     plan = slots.playlist_duration(t.streams, t.stream_map, t.schedule, W)._jdf.queryExecution().executedPlan().toString()
