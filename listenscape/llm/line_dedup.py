@@ -10,7 +10,7 @@ judged on the input. Lines without a word always stay.
    exact; bins only make it cheaper), and each class posts its prefix.
 3. For each token, every poster is verified against the token's earliest poster (a star: a row per posting).
    Classes still unmatched are then paired with all earlier posters of their tokens, under the length
-   and positional filters. Matched ones need no further partner, so a large group never makes all its pairs.
+   and positional filters and a bound on the tokens they share, from 128 parity bits a class. Matched ones need no further partner, so a large group never makes all its pairs.
 4. Pairs are verified on the full token sets.
 
 Cases: null texts stay null, empty texts and blank lines stay. Rows that share a doc_id count as one
@@ -74,6 +74,13 @@ def classes_of(docs: DataFrame, place: Column) -> DataFrame:
     return lines.where(F.trim("line") != "").groupBy("line").agg(F.min(place).alias("ord"))
 
 
+def _parities(tokens: str) -> list[Column]:
+    """``even`` and ``odd``: the parities of a set's tokens in 128 bins. A token that one of two sets lacks turns one
+    bit, so that the bits in which two sets differ are at most the tokens in which they do."""
+    turn = "aggregate(%s, 0L, (x, t) -> x ^ IF((t & 64) = %d, shiftleft(1L, int(t & 63)), 0L))"
+    return [F.expr(turn % (tokens, bit)).alias(name) for name, bit in (("even", 0), ("odd", 64))]
+
+
 def _bin(token: Column) -> Column:
     return token.bitwiseAND(F.lit(BINS - 1)).cast("int")
 
@@ -96,29 +103,32 @@ def matches(classes: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(b): the ``ord`` of every class that has an earlier matching class. ``classes`` should be staged."""
     rank = _ranks(classes, width)
     # Rarity class above 55 bits of hash: sorting the numbers sorts by rarity.
-    key = F.transform(_tokens(width), lambda t: F.get(rank, _bin(t)).bitwiseOR(F.shiftrightunsigned(t, 9)))
-    prefix = _let(F.sort_array(F.array_distinct(key)), lambda s: F.transform(
-        F.slice(s, F.lit(1), F.size(s) - F.ceil(F.size(s) * percent / F.lit(100)).cast("int") + 1),
-        lambda t: F.struct(t.alias("token"), F.size(s).alias("n"))))
+    key = F.transform(_tokens(width), lambda t: F.coalesce(F.get(rank, _bin(t)), F.lit(0)).bitwiseOR(F.shiftrightunsigned(t, 9)))
+    sets = classes.select("ord", F.sort_array(F.array_distinct(key)).alias("s"))
+    n = F.size("s")
+    prefix = F.slice("s", F.lit(1), n - F.ceil(n * percent / F.lit(100)).cast("int") + 1)
     # One shuffle serves the count and the join: both sides read all its columns, so that the exchange is reused.
-    posts = classes.select("ord", F.posexplode(prefix).alias("i", "post")).select("post.token", "ord", "post.n", "i").repartition("token")
-    first = (posts.groupBy("token").agg(F.min(F.struct("ord", "n", "i")).alias("first"), F.count("*").alias("posters"))
-             .where("posters > 1").select("token", F.col("first.ord").alias("a"), "posters"))
+    posts = sets.select("ord", n.alias("n"), F.posexplode_outer(prefix).alias("i", "token")).repartition("token")
+    first = (posts.groupBy("token").agg(F.min("ord").alias("a"), F.count("*").alias("posters"), F.max("n").alias("_n"), F.max("i").alias("_i"))
+             .where("posters > 1 AND _n IS NOT NULL AND _i IS NOT NULL").select("token", "a", "posters"))
     shared = stage(posts.join(first.hint("shuffle_hash"), "token").select("token", "ord", "n", "i", "a", "posters"), "line-posts")
 
     wanted = shared.select("ord").distinct()
-    known = stage(classes.join(wanted, "ord", "left_semi").select("ord", F.array_distinct(_tokens(width)).alias("set")), "line-sets")
+    known = classes.join(wanted, "ord", "left_semi").select("ord", F.array_distinct(_tokens(width)).alias("set"))
+    known = stage(known.select("ord", "set", *_parities("set")), "line-sets")
     star = shared.where("ord <> a").select("a", F.col("ord").alias("b")).distinct()
     found = stage(_verified(star, known, percent), "line-matches")
 
-    rest = shared.where("posters > 2")
+    rest = shared.where("posters > 2").join(known.select("ord", "even", "odd"), "ord")
     late = rest.where("ord <> a").join(found, F.col("ord") == F.col("b"), "left_anti")
     x, y = rest.alias("x"), late.alias("y")
     least = F.ceil((F.col("x.n") + F.col("y.n")) * percent / F.lit(100 + percent))
+    differ = F.bit_count(F.col("x.even").bitwiseXOR(F.col("y.even"))) + F.bit_count(F.col("x.odd").bitwiseXOR(F.col("y.odd")))
     pairs = (x.join(y, F.col("x.token") == F.col("y.token"))
              .where("x.ord < y.ord AND x.ord <> y.a")
              .where((100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-                    & (F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) + F.least("x.i", "y.i") >= least))
+                    & (F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) + F.least("x.i", "y.i") >= least)
+                    & (differ <= F.col("x.n") + F.col("y.n") - 2 * least))
              .select(F.col("x.ord").alias("a"), F.col("y.ord").alias("b")).distinct())
     late = stage(_verified(pairs, known, percent), "line-late")
     drop_stage(shared)

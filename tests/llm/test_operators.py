@@ -188,6 +188,30 @@ def test_op5_is_native(spark, sf_dir):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_op5_parity_bits_bound_what_sets_differ_in(spark):
+    rng = np.random.default_rng(5)
+    pool = rng.integers(-(1 << 63), (1 << 63) - 1, 60)
+    sets = [sorted(int(x) for x in rng.choice(pool, size, replace=False)) for size in (0, 1, 20, 30, 40, 50, 60)]
+    rows = spark.createDataFrame(list(enumerate(sets)), "i int, set array<long>").select("i", *line_dedup._parities("set")).collect()
+    bits = {r.i: (r.even & (1 << 64) - 1) << 64 | r.odd & (1 << 64) - 1 for r in rows}
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            assert (bits[i] ^ bits[j]).bit_count() <= len(set(x) ^ set(y))
+    assert all(bits[i].bit_count() > 0 for i in range(1, len(sets)))
+
+
+def test_op5_lines_that_cannot_match_are_not_carried_to_their_sets(spark, monkeypatch):
+    """Lines of 68 words, 50 of which they share: pairs of them share prefixes, and none matches."""
+    common_words = " ".join(f"same{k}" for k in range(50))
+    rows = [(i, common_words + "".join(f" own{i}x{k}" for k in range(18))) for i in range(60)]
+    carried, verified = [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_ranks", lambda classes, width: F.array_repeat(F.lit(0).cast("long"), line_dedup.BINS))
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, known, percent: (carried.append(pairs.count()), verified(pairs, known, percent))[1])
+    done = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert done.where("n_kept <> 1").count() == 0
+    assert 59 <= carried[0] < 600 and carried[1] < 60  # the stars' pairs, then the late ones
+
+
 def test_op6_reads_disguised_words():
     counts = np.ones((toxicity._N + 1, toxicity._N + 1))
     start, step = toxicity.language_model(counts, ["idiot", "moron", "loser", "scum", "trash"])
