@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -212,6 +213,22 @@ def test_op5_lines_that_cannot_match_are_not_carried_to_their_sets(spark, monkey
     assert 59 <= carried[0] < 600 and carried[1] < 60  # the stars' pairs, then the late ones
 
 
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    def blocks():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {b for b in found.mkString(" ").split() if b.startswith("shuffle_")}
+
+    df, before = spark.range(1000).repartition(7, "id"), blocks()
+    with common.shuffles_end_with_query(spark):
+        df.write.parquet(str(tmp_path / "out"))
+    for _ in range(100):
+        if not blocks() - before:
+            break
+        time.sleep(0.1)
+    assert not blocks() - before
+    assert spark.read.parquet(str(tmp_path / "out")).count() == df.count() == 1000
+
+
 def test_op6_reads_disguised_words():
     counts = np.ones((toxicity._N + 1, toxicity._N + 1))
     start, step = toxicity.language_model(counts, ["idiot", "moron", "loser", "scum", "trash"])
