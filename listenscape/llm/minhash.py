@@ -9,11 +9,12 @@ similarity of their sets is at least ``percent`` / 100; components are the group
 2. Every class posts its signature's bands. Members of a band bucket are candidates.
 3. Candidates are screened by the collision-corrected estimate from bit counts of the packed signatures,
    with a margin of five standard deviations below the threshold, and confirmed on the full sets.
-4. Buckets are worked off as stars, so a group of g near copies costs g pairs a round and not g^2: in each
-   round a bucket's members are compared with one pivot,
-   at first the member with most company over all buckets. Buckets whose members are by then in one component
-   need no more pairs. After ``star_rounds`` rounds, members of still different components are compared
-   pair by pair, so that no link between components is lost.
+4. Buckets are worked off as stars, so a group of g near copies costs g pairs and not g^2: each class is compared with
+   the text of most company over all its buckets; then, where a bucket's members are not in one component by then, with
+   the bucket's own such member, its hub (which may lie outside) and one of those that share a difference from the hub.
+   Members of still different components are joined by these differences (see ``_prefixes``): near copies that miss
+   the threshold with the hub and with one another share almost all their shingles, but few of what tells them from the
+   hub. The bound is exact, so no link between components is lost.
 
 A pair at the threshold of 0.8 shares no band with probability (1 - 0.8^7)^48 = 1e-5, one at 0.85 with 1e-8.
 
@@ -152,6 +153,46 @@ def _screen(least: float):
     return run
 
 
+def _prefixes(percent: int):
+    """The differences between a member and a pivot that a link must share one of, rarest first.
+
+    A member's set lacks ``r`` of the pivot's ``n`` shingles and adds ``a``. With w = 100 r + percent a, two members link
+    if and only if their differences (lacked or added) have at least (w + w' - (100 - percent) n) / (100 + percent) in common, and
+    a member links with the pivot itself if w <= (100 - percent) n. Of two members in different components at least one has no
+    such link (members are compared with the pivot as well), so that this number is positive: the two share one of their first d - number + 1 differences in any
+    fixed order, d being how many there are. ``index`` bounds the number for partners of no smaller w, ``probe`` for
+    partners of no larger w: they hold at least w / percent differences, or too few to reach it.
+    """
+
+    def run(batches):
+        for batch in batches:
+            own, base = ([(np.asarray(batch.column(t)[i].values), np.asarray(batch.column(f)[i].values)) for i in range(batch.num_rows)]
+                         for t, f in (("tokens", "df"), ("tokens_p", "df_p")))
+            rows, parts = [], []
+            for i, ((c, dc), (p, dp), members) in enumerate(zip(own, base, batch.column("members").to_pylist())):
+                added, lacked = ~np.isin(c, p), ~np.isin(p, c)
+                r, a, slack = int(lacked.sum()), int(added.sum()), (100 - percent) * len(p)
+                w, d = 100 * r + percent * a, r + a
+                index = d + 1 + (slack - w - max(w, slack + 1)) // (100 + percent)
+                probe = d + 1 + (slack - w) // 100 if w > slack else 0
+                # About how many members share a difference: those that hold the added one, or do not hold the lacked one.
+                tokens, df = np.concatenate([c[added], p[lacked]]), np.concatenate([dc[added], np.maximum(members - dp[lacked], 0)])
+                order = np.lexsort((tokens, df))[:max(index, probe, 0)]
+                pos = np.arange(len(order))
+                some = (df[order] > 1) | (order >= a)  # no other member adds a shingle found once
+                pos, tokens = pos[some], tokens[order][some]
+                rows.append(np.full(len(pos), i))
+                parts.append((tokens, pos, np.full(len(pos), w), np.full(len(pos), d), np.full(len(pos), slack), pos < index, pos < probe))
+            if not parts:
+                continue
+            at = pa.array(np.concatenate(rows))
+            made = [pa.array(np.concatenate(x)) for x in zip(*parts)]
+            yield pa.RecordBatch.from_arrays([batch.column("pivot").take(at), batch.column("rep").take(at), *made],
+                                             ["pivot", "rep", "token", "pos", "w", "d", "slack", "index", "probe"])
+
+    return run
+
+
 def _setter(width: int):
     def run(batches):
         h = hasher()
@@ -180,20 +221,40 @@ class _Confirm:
         signs = self.classes.select("rep", "sign")
         both = (pairs.distinct().join(signs.select(F.col("rep").alias("a"), F.col("sign").alias("sign_a")), "a")
                 .join(signs.select(F.col("rep").alias("b"), F.col("sign").alias("sign_b")), "b"))
-        likely = stage(both.mapInArrow(_screen(least), f"a {self.kind}, b {self.kind}"), "minhash-pairs")
+        likely = both.mapInArrow(_screen(least), f"a {self.kind}, b {self.kind}")
         a = self.sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a"))
         b = self.sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b"))
         shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
         either = F.size("set_a") + F.size("set_b") - shared
         return stage(likely.join(a, "a").join(b, "b").where(100 * shared >= self.percent * either).select("a", "b").distinct(), "minhash-links")
 
-
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, star_rounds: int = 3) -> DataFrame:
+    def differences(self, shared: DataFrame) -> DataFrame:
+        """The rows of ``_prefixes`` for each member of ``shared`` and hub of a bucket of it."""
+        pairs = shared.where("rep <> hub").select(F.col("hub").alias("pivot"), "rep").distinct()
+        ids = pairs.select(F.col("rep").alias("doc_id")).unionAll(pairs.select("pivot")).distinct()
+        each = self.sets.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", F.explode("set").alias("token"))
+        members = pairs.groupBy("pivot").agg(F.count("*").alias("members"))
+        often = each.groupBy("token").agg(F.count("*").cast("int").alias("df"))
+        sets = stage(each.join(often, "token").groupBy("doc_id").agg(F.collect_list(F.struct("df", "token")).alias("s"))
+                     .select("doc_id", F.col("s.token").alias("tokens"), F.col("s.df").alias("df")), "minhash-ranked")
+        base = sets.select(F.col("doc_id").alias("pivot"), F.col("tokens").alias("tokens_p"), F.col("df").alias("df_p"))
+        both = pairs.join(sets.withColumnRenamed("doc_id", "rep"), "rep").join(base.join(members, "pivot"), "pivot")
+        return stage(both.mapInArrow(_prefixes(self.percent), f"pivot {self.kind}, rep {self.kind}, token long, pos long, w long, d long, slack long, "
+                                                              "index boolean, probe boolean"), "minhash-differences")
+
+    def late(self, x: DataFrame, y: DataFrame) -> DataFrame:
+        """Pairs of ``x`` and ``y`` (rows of ``differences`` with a component) that share a difference early enough for a link."""
+        x, y = x.alias("x"), y.alias("y")
+        return (x.join(y, (F.col("x.pivot") == F.col("y.pivot")) & (F.col("x.token") == F.col("y.token")))
+                .where(f"x.component <> y.component AND x.w + y.w - x.slack <= {100 + self.percent} * least(x.d - x.pos, y.d - y.pos)"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
-    return _grouped(docs, width, percent, star_rounds).select("doc_id", "n_shingles", "component_id")
+    return _grouped(docs, width, percent).select("doc_id", "n_shingles", "component_id")
 
 
-def _grouped(docs: DataFrame, width: int, percent: int = 80, star_rounds: int = 3) -> DataFrame:
+def _grouped(docs: DataFrame, width: int, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, the set's digest (d1, d2) and the text's (text_key) for every row of ``docs``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = stage(docs.select("doc_id", "text").mapInArrow(
@@ -202,31 +263,46 @@ def _grouped(docs: DataFrame, width: int, percent: int = 80, star_rounds: int =
     posts = classes.select("rep", "sign").mapInArrow(_bands, f"key long, rep {kind}")
     sizes = posts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = stage(posts.join(sizes.hint("shuffle_hash"), "key"), "minhash-buckets")
-    # A bucket's first pivot is its member with most company over all buckets: the text that others were copied from.
+    # A bucket's pivot is its member with most company over all buckets, a member's centre the one of its buckets' pivots that has
+    # most: the text that others were copied from. A bucket's hub is the centre most in company of all its members' ones.
     company = shared.groupBy("rep").agg(F.sum("n").alias("company"))
-    centre = shared.join(company, "rep").groupBy("key").agg(F.max_by("rep", F.struct("company", -F.col("rep"))).alias("pivot"))
-    shared = stage(shared.join(centre, "key").select("key", "rep", "pivot"), "minhash-buckets")
+    most = F.max(F.struct("company", (-F.col("pivot")).alias("low"), "pivot"))
+    pivots = (shared.join(company, "rep").groupBy("key").agg(F.max(F.struct("company", -F.col("rep"), "rep")).alias("m"))
+              .select("key", F.col("m.rep").alias("pivot"), "m.company"))
+    shared = stage(shared.select("key", "rep").join(pivots, "key"), "minhash-buckets")
+    centres = stage(shared.groupBy("rep").agg(most.alias("m")).select("rep", F.col("m.pivot").alias("centre"), "m.company"), "minhash-centres")
+    hubs = (shared.select("key", "rep").join(centres.withColumnRenamed("centre", "pivot"), "rep")
+            .groupBy("key").agg(most.alias("m")).select("key", F.col("m.pivot").alias("hub")))
+    shared = stage(shared.select("key", "rep", "pivot").join(hubs, "key"), "minhash-buckets")
 
     confirm = _Confirm(docs, classes, shared, width, percent)
-    links = confirm.links(shared.where("rep <> pivot").select(F.least("pivot", "rep").alias("a"), F.greatest("pivot", "rep").alias("b")))
+    links = confirm.links(centres.where("rep <> centre").select(F.least("centre", "rep").alias("a"), F.greatest("centre", "rep").alias("b")))
     groups = stage(components(links), "minhash-groups")
-    for turn in range(1, star_rounds + 1):
+    posts = None
+    for last in (False, True):
         # Buckets whose members are in one component are done.
-        member = (shared.select("key", "rep", "pivot").join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
-                  .select("key", "rep", "pivot", F.coalesce("component", "rep").alias("component")))
-        split = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                          F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("next")).where("lo <> hi").drop("lo", "hi")
-        shared = stage(member.join(split.hint("shuffle_hash"), "key").select("key", "rep", "pivot", "next", "component"), "minhash-buckets")
+        member = (shared.select("key", "rep", "pivot", "hub").join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
+                  .select("key", "rep", "pivot", "hub", F.coalesce("component", "rep").alias("component")))
+        split = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+        shared = stage(member.join(split.hint("shuffle_hash"), "key"), "minhash-buckets")
         if shared.isEmpty():
             break
-        if turn < star_rounds:
-            centre = shared.where("rep = next").select("key", F.col("component").alias("own"))
-            pairs = (shared.where("rep <> next").join(centre.hint("shuffle_hash"), "key").where("component <> own")
-                     .select(F.least("rep", "next").alias("a"), F.greatest("rep", "next").alias("b")))
+        if posts is None:
+            posts = confirm.differences(shared)
+        named = (posts.join(groups.select(F.col("id").alias("rep"), "component"), "rep", "left")
+                 .withColumn("component", F.coalesce("component", "rep")))
+        if last:
+            pairs = confirm.late(named.where("index"), named.where("probe")).where("x.w < y.w OR x.w = y.w AND x.rep < y.rep")
+            pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
         else:
-            x, y = shared.alias("x"), shared.alias("y")
-            pairs = (x.join(y, F.col("x.key") == F.col("y.key")).where("x.component < y.component AND x.rep <> y.pivot AND y.rep <> x.pivot")
-                     .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")))
+            first = F.min_by(F.struct("rep", "w", "d", "slack", "pos", "component"), F.xxhash64("rep"))
+            one = named.groupBy("pivot", "token").agg(first.alias("m")).select("pivot", "token", "m.*")
+            stars = [confirm.late(named, one).select(F.col("x.rep").alias("rep"), F.col("y.rep").alias("of")),
+                     *(shared.select("rep", F.col(c).alias("of")) for c in ("pivot", "hub"))]
+            # Links that are known need no second confirmation.
+            own, other = (groups.select(F.col("id").alias(i), F.col("component").alias(c)) for i, c in (("rep", "own"), ("of", "other")))
+            pairs = (stars[0].unionAll(stars[1]).unionAll(stars[2]).where("rep <> of").distinct().join(own, "rep", "left").join(other, "of", "left")
+                     .where("coalesce(own, rep) <> coalesce(other, of)").select(F.least("rep", "of").alias("a"), F.greatest("rep", "of").alias("b")))
         more = confirm.links(pairs)
         if not more.isEmpty():
             links = links.unionAll(more)

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +93,70 @@ def test_op3_equals_brute_force(spark, sf_dir, docs):
     assert run(spark, sf_dir, "op3_minhash") == {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
 
 
+def _hub_and_copies(n_words: int, n_copies: int, changed: tuple[int, int], seed: int) -> list[str]:
+    """A text and copies of it with ``changed`` words replaced; then 30 copies that are one another's near copies."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{k}" for k in range(n_words)]
+
+    def copy(words, n, own):
+        words = list(words)
+        for k in rng.choice(len(words), n, replace=False):
+            words[k] = f"{own}n{rng.integers(1000)}"
+        return words
+
+    out = [base, *(copy(base, int(rng.integers(*changed)), f"c{i}") for i in range(n_copies))]
+    second = copy(base, changed[1], "second")
+    return [" ".join(w) for w in [*out, *(copy(second, n_words // 50, f"s{i}") for i in range(30))]]
+
+
+def _linked_components(texts: list[str]) -> list[int]:
+    sets = [set(zip(w, w[1:])) for w in map(str.split, texts)]
+    label = list(range(len(sets)))
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            both = len(x & y)
+            if label[i] != label[j] and 100 * both >= 80 * (len(x) + len(y) - both):
+                a, b = sorted((label[i], label[j]))
+                label = [a if v == b else v for v in label]
+    return label
+
+
+def test_op3_copies_that_miss_the_threshold_make_no_square_of_pairs(spark, monkeypatch):
+    texts = _hub_and_copies(150, 300, (6, 12), 3)
+    made, links = [], minhash._Confirm.links
+    monkeypatch.setattr(minhash._Confirm, "links", lambda self, pairs: (made.append(pairs.distinct().count()), links(self, pairs))[1])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, width=2).collect()}
+    assert got == dict(enumerate(_linked_components(texts)))
+    assert sum(made) < 10 * len(texts), made
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_op3_differences_lose_no_link(spark, seed):
+    """All links of one bucket between members of different components come from differences they share."""
+    texts = _hub_and_copies(60, 40, (1, 9), seed) + ["w1 w2", "w1 w2 w3 far away", "far away w9 w10"]
+    rng = np.random.default_rng(seed)
+    texts += [" ".join(np.delete(t.split(), rng.choice(30, n, replace=False))) for t in texts[:40:4] for n in (2, 7)]
+    hasher = minhash.hasher()
+    sets = {i: hasher.shingles(t.encode(), 2) for i, t in enumerate(texts)}
+    df = Counter(x for s in sets.values() for x in s.tolist())
+    ids = sorted(sets)[1:]
+    lists = {i: (s.view(np.int64).tolist(), [df[x] for x in s.tolist()]) for i, s in sets.items()}
+    batch = pa.RecordBatch.from_pydict({"pivot": [0] * len(ids), "rep": ids, "members": [len(ids)] * len(ids), "tokens": [lists[i][0] for i in ids], "df": [lists[i][1] for i in ids],
+                                        "tokens_p": [lists[0][0]] * len(ids), "df_p": [lists[0][1]] * len(ids)})
+    rows = [r for b in minhash._prefixes(80)(iter([batch])) for r in b.to_pylist()]
+    found = {tuple(sorted((x["rep"], y["rep"]))) for x in rows for y in rows
+             if x["token"] == y["token"] and x["index"] and y["probe"] and (x["w"], x["rep"]) < (y["w"], y["rep"])
+             and x["w"] + y["w"] - x["slack"] <= 180 * min(x["d"] - x["pos"], y["d"] - y["pos"])}
+
+    def link(i, j):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        return 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both)
+
+    wanted = {(i, j) for j in ids for i in ids if i < j and link(i, j) and not (link(i, 0) and link(j, 0))}
+    assert len(wanted) > 100 and wanted <= found
+
+
 def test_near_dedup_stage_keeps_rows_without_id_and_texts_that_share_one(spark, sf_dir):
     a, b, c = ("".join(f"{w}{i} " for i in range(30)) for w in ("apple", "berry", "cherry"))
     rows = [(None, a), (None, a), (None, c), (1, a), (2, a), (2, b), (2, b), (3, b.upper()), (4, c), (4, "short one"), (5, None), (5, ""), (5, " ")]
