@@ -44,8 +44,11 @@ def uniform(*parts) -> np.ndarray:
     x = np.uint64(0x2545F4914F6CDD1D)
     with np.errstate(over="ignore"):
         for p in parts:
-            x = (x ^ np.asarray(p).astype(np.uint64)) * _M[0]
-            x = (x ^ (x >> np.uint64(32))) * _M[1]
+            p = np.asarray(p)
+            x = x ^ (p.view(np.uint64) if p.dtype == np.int64 else p.astype(np.uint64))
+            x *= _M[0]
+            x ^= x >> np.uint64(32)
+            x *= _M[1]
         x = x ^ (x >> np.uint64(29))
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
@@ -58,15 +61,23 @@ class Hashes:
         bits = len(hashes).bit_length() + 4
         self.shift = np.uint64(64 - bits)
         self.table = np.zeros(1 << bits, bool)
-        self.table[hashes * _M[0] >> self.shift] = True
+        # The place of a hash with these bits; where several have them, they are looked up in the sorted set.
+        self.place, self.shared = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, bool)
+        slot = hashes * _M[0] >> self.shift
+        self.table[slot] = True
+        self.place[slot] = np.arange(len(hashes))
+        self.shared[slot[self.place[slot] != np.arange(len(hashes))]] = True
 
     def find(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The places in ``x`` of hashes of the set, and their places in the set."""
         if not len(self.hashes):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        likely = np.flatnonzero(self.table[x * _M[0] >> self.shift])
-        x = x[likely]
-        at = np.minimum(np.searchsorted(self.hashes, x), len(self.hashes) - 1)
+        slot = x * _M[0] >> self.shift
+        likely = np.flatnonzero(self.table[slot])
+        x, slot = x[likely], slot[likely]
+        at = self.place[slot].astype(np.int64)
+        several = np.flatnonzero(self.shared[slot])
+        at[several] = np.minimum(np.searchsorted(self.hashes, x[several]), len(self.hashes) - 1)
         hit = np.flatnonzero(self.hashes[at] == x)
         return likely[hit], at[hit]
 
@@ -116,21 +127,29 @@ class Pieces:
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text behind ids, without the blank that encoding put in front."""
+        return self.decode_each([ids])[0]
+
+    def decode_each(self, rows: list[np.ndarray]) -> list[bytes]:
+        """The text behind each row of ids."""
+        ids = np.concatenate([*rows, np.zeros(0, np.int32)])
         size = self.sizes[ids]
-        step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        return self.flat[np.repeat(self.offsets[ids], size) + step].tobytes()[1:]
+        end = np.cumsum(size)
+        data = self.flat[np.repeat(self.offsets[ids] - end + size, size) + np.arange(int(size.sum()))].tobytes()
+        cuts = np.concatenate([[0], end])[np.cumsum([0, *map(len, rows)])].tolist()
+        return [data[a + 1:b] for a, b in zip(cuts, cuts[1:])]
 
 
 class Lattices:
     """The lattices of distinct words, as one graph. State s has the edges first[s] .. first[s + 1]."""
 
-    def __init__(self, words: list[str], pieces: Pieces):
-        lens = np.array([len(w) for w in words], np.int64)
+    def __init__(self, words: list[str], pieces: Pieces, lens: np.ndarray | None = None):
+        if lens is None:  # else the lengths of words that are one text
+            lens = np.array([len(w) for w in words], np.int64)
         code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         self.start = np.cumsum(lens + 1) - (lens + 1)  # a state for each character and one for the end
         end = self.start + lens
         n = int((lens + 1).sum())
-        at = np.arange(len(code)) + np.repeat(np.arange(len(words)), lens)  # state of each character
+        at = np.arange(len(code)) + np.repeat(np.arange(len(lens)), lens)  # state of each character
         limit = np.repeat(np.cumsum(lens), lens)
         # Literal U+2581 never fits a piece; a word's own leading blanks are marked by a lone surrogate.
         plain = np.where(code == ord(BLANK), 0x110001, np.where(code == 0xD800, ord(BLANK), code)).astype(np.uint64)
@@ -166,7 +185,8 @@ class Lattices:
         for f in frm:  # a state has at most one edge of each length
             counts[f] += 1
         self.first = np.concatenate([[0], np.cumsum(counts)])
-        self.several = np.repeat(counts > 1, counts)
+        self.branches = counts > 1
+        self.several = np.repeat(self.branches, counts)
         self.frm = np.repeat(np.arange(n), counts)
         n_edges, free = len(self.frm), self.first[:-1].copy()
         self.to, self.piece, flat = np.empty(n_edges, np.int64), np.empty(n_edges, np.int64), np.empty(n_edges)
@@ -180,7 +200,7 @@ class Lattices:
         # Backward log-sums, from the last character of all words to the first.
         beta = np.zeros(n)
         back = np.repeat(lens, lens) - (at - np.repeat(self.start, lens))  # characters to the word's end
-        by = np.argsort(back, kind="stable")
+        by = np.argsort(back.astype(np.uint16) if lens.max(initial=0) < 1 << 16 else back, kind="stable")  # 16 bits: a radix sort
         cuts = np.concatenate([[0], np.cumsum(np.bincount(back, minlength=int(lens.max(initial=0)) + 1))]).astype(int)
         for d in range(1, len(cuts) - 1):
             s = at[by[cuts[d]:cuts[d + 1]]]
@@ -221,7 +241,10 @@ class Search:
         live = ~lat.is_end[state]
         state, active, step = state[live], active[live], step[live]
         while len(active):
-            e = lat.choose(state, uniform(self.keys[self.doc[active]], turn, self.place[active], step))
+            e = lat.first[state]
+            many = np.flatnonzero(lat.branches[state])  # elsewhere there is no choice
+            some = active[many]
+            e[many] = lat.choose(state[many], uniform(self.keys[self.doc[some]], turn, self.place[some], step[many]))
             out.append((active, step, e))
             state = lat.to[e]
             live = ~lat.is_end[state]
@@ -291,17 +314,24 @@ class Search:
                 break
             cut_word, cut_step, new_from = np.full(n, len(self.word)), np.zeros(n, np.int64), np.full(n, 1 << 60)
             forced = []
+            cut_at = np.zeros((2, n), np.int64)  # the word in its text, and the step, of each document's best region
+            for j, s in enumerate(self.samples):
+                own = docs[sample[docs] == j]
+                cut_at[:, own] = s["occ"][node[own]] - self.word_begin(own), s["step"][node[own]]
+            draw, redraw = (np.zeros(n), np.zeros(n))
+            draw[docs] = uniform(self.keys[docs], turn + (2 << 20), *cut_at[:, docs])
+            redraw[docs] = uniform(self.keys[docs], turn + (3 << 20), *cut_at[:, docs])
             for d in docs.tolist():
                 s, m = self.samples[sample[d]], int(node[d])
                 state = int(lat.frm[s["edge"][m]])
                 used = self.extra.setdefault((int(sample[d]), m), [int(s["edge"][m])])
                 left = [e for e in range(int(lat.first[state]), int(lat.first[state + 1])) if e not in used]
                 mass = np.cumsum(lat.q[left])
-                u = float(uniform(self.keys[d], turn + (2 << 20), int(s["occ"][m]) - int(self.word_begin(d)), int(s["step"][m])))
+                u = float(draw[d])
                 e = left[min(int(np.searchsorted(mass, u * mass[-1])), len(left) - 1)]
                 used.append(e)
                 rest = float(mass[-1] - lat.q[e])
-                again = float(uniform(self.keys[d], turn + (3 << 20), int(s["occ"][m]) - int(self.word_begin(d)), int(s["step"][m])))
+                again = float(redraw[d])
                 s["g"][m] = self.truncated(s["phi"][m] + np.log(rest), value[d], again) if len(left) > 1 and rest > 0 else -np.inf
                 cut_word[d], cut_step[d], new_from[d] = s["occ"][m], s["step"][m], m - s["begin"][d] + 1
                 forced.append((int(s["occ"][m]), int(s["step"][m]), e))
@@ -321,7 +351,7 @@ class Search:
             self.add(turn, parts, docs, value, new_from)
         return self.samples, self.best_regions()[0]
 
-    def word_begin(self, d: int) -> int:
+    def word_begin(self, d: np.ndarray) -> np.ndarray:
         if not hasattr(self, "_begin"):
             self._begin = np.searchsorted(self.doc, np.arange(len(self.keys)))
         return self._begin[d]
@@ -339,7 +369,8 @@ def segment(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int):
     number = [list(map(index.__getitem__, words_of(t))) for t in texts]
     n_words = np.array([len(x) for x in number], np.int64)
     word = np.fromiter(itertools.chain.from_iterable(number), np.int64, int(n_words.sum()))
-    lat = Lattices(["\ud800" + w.replace(" ", "\ud800") for w in index], pieces)
+    lens = np.fromiter(map(len, index), np.int64, len(index)) + 1
+    lat = Lattices(["\ud800".join(["", *index]).replace(" ", "\ud800")], pieces, lens)
     samples, kappa = Search(lat, word, n_words, keys).run(k)
     out: list[list] = [[] for _ in texts]
     for s in samples:
@@ -400,6 +431,7 @@ def table_of(rows, pieces: Pieces, k: int, with_ids: bool, id_type) -> pa.Record
         for r, f in zip(some, segment([rows[r][1] for r in some], keys[some], pieces, k)):
             found[r] = f
     ids, sample, sizes, crc, logp, score, exact, raw = [], [], [], [], [], [], [], []
+    decoded = iter(pieces.decode_each([x for f in found for x, _, _ in f]))
     for (doc, t), f in zip(rows, found):
         data = (t or "").encode("utf-8", "surrogatepass")
         for s, (x, p, q) in enumerate(f, 1):
@@ -409,7 +441,7 @@ def table_of(rows, pieces: Pieces, k: int, with_ids: bool, id_type) -> pa.Record
             crc.append(zlib.crc32(x.astype("<u4").tobytes()))
             logp.append(p)
             score.append(q)
-            exact.append(pieces.decode(x) == data)
+            exact.append(next(decoded) == data)
             raw.append(x)
     cols = {"doc_id": pa.array(ids, id_type), "sample": pa.array(sample, pa.int32()), "n_ids": pa.array(sizes, pa.int64()),
             "ids_crc32": pa.array(crc, pa.int64()), "log_prob": pa.array(logp, pa.float64()), "inclusion": pa.array(score, pa.float64()),

@@ -197,6 +197,26 @@ def test_op4_samples_without_replacement_follow_the_lattice():
     assert abs(np.mean([sum(np.exp(s[1]) / s[2] for s in x) for x in found]) - 1) < 0.05
 
 
+def test_op4_hashes_that_share_a_slot_are_told_apart():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 3, 5000):
+        known = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        table = sample_pieces.Hashes(known)
+        x = rng.permutation(np.concatenate([known, rng.integers(0, 1 << 64, 20000, dtype=np.uint64)]))
+        where, place = table.find(x)
+        assert (where == np.flatnonzero(np.isin(x, known))).all() and (known[place] == x[where]).all()
+    assert table.shared.sum() > 10
+
+
+def test_op4_draws_of_a_turn_are_made_at_once(monkeypatch):
+    calls, uniform = [], sample_pieces.uniform
+    monkeypatch.setattr(sample_pieces, "uniform", lambda *parts: (calls.append(1), uniform(*parts))[1])
+    pieces = sample_pieces.Pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    found = sample_pieces.segment(["some plain words"] * 200, np.arange(200, dtype=np.uint64), pieces, 2)
+    assert all(len(f) == 2 for f in found)
+    assert len(calls) < 100  # by steps of the walk, not by texts
+
+
 def test_op4_long_texts_have_one_search(monkeypatch):
     import pyarrow as pa
 
