@@ -14,7 +14,7 @@ similarity of their sets is at least ``percent`` / 100; components are the group
    the bucket's own such member, its hub (which may lie outside) and one of those that share a difference from the hub.
    Members of still different components are joined by these differences (see ``_prefixes``): near copies that miss
    the threshold with the hub and with one another share almost all their shingles, but few of what tells them from the
-   hub. The bound is exact, so no link between components is lost.
+   hub. What is rare is counted for each hub over its own members. The bound is exact, so no link between components is lost.
 
 A pair at the threshold of 0.8 shares no band with probability (1 - 0.8^7)^48 = 1e-5, one at 0.85 with 1e-8.
 
@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from .common import DOCUMENT_COLUMNS, components, stage, table, worker_cache
 
 BANDS, ROWS = 48, 7
+#: About how many members of a hub one task compares with it.
+TOGETHER = 64
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -175,8 +177,8 @@ def _prefixes(percent: int):
                 w, d = 100 * r + percent * a, r + a
                 index = d + 1 + (slack - w - max(w, slack + 1)) // (100 + percent)
                 probe = d + 1 + (slack - w) // 100 if w > slack else 0
-                # About how many members share a difference: those that hold the added one, or do not hold the lacked one.
-                tokens, df = np.concatenate([c[added], p[lacked]]), np.concatenate([dc[added], np.maximum(members - dp[lacked], 0)])
+                # How many members share a difference: those that hold the added one, or do not hold the lacked one.
+                tokens, df = np.concatenate([c[added], p[lacked]]), np.concatenate([dc[added], members - dp[lacked]])
                 order = np.lexsort((tokens, df))[:max(index, probe, 0)]
                 pos = np.arange(len(order))
                 some = (df[order] > 1) | (order >= a)  # no other member adds a shingle found once
@@ -229,18 +231,28 @@ class _Confirm:
         return stage(likely.join(a, "a").join(b, "b").where(100 * shared >= self.percent * either).select("a", "b").distinct(), "minhash-links")
 
     def differences(self, shared: DataFrame) -> DataFrame:
-        """The rows of ``_prefixes`` for each member of ``shared`` and hub of a bucket of it."""
+        """The rows of ``_prefixes`` for each member of ``shared`` and hub of a bucket of it.
+
+        How often a token occurs is counted for each hub over its own members: what a member lacks is as rare as the
+        members that lack it, which a count over the members of all hubs does not tell."""
         pairs = shared.where("rep <> hub").select(F.col("hub").alias("pivot"), "rep").distinct()
-        ids = pairs.select(F.col("rep").alias("doc_id")).unionAll(pairs.select("pivot")).distinct()
-        each = self.sets.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", F.explode("set").alias("token"))
-        members = pairs.groupBy("pivot").agg(F.count("*").alias("members"))
-        often = each.groupBy("token").agg(F.count("*").cast("int").alias("df"))
-        sets = stage(each.join(often, "token").groupBy("doc_id").agg(F.collect_list(F.struct("df", "token")).alias("s"))
-                     .select("doc_id", F.col("s.token").alias("tokens"), F.col("s.df").alias("df")), "minhash-ranked")
-        base = sets.select(F.col("doc_id").alias("pivot"), F.col("tokens").alias("tokens_p"), F.col("df").alias("df_p"))
-        both = pairs.join(sets.withColumnRenamed("doc_id", "rep"), "rep").join(base.join(members, "pivot"), "pivot")
-        return stage(both.mapInArrow(_prefixes(self.percent), f"pivot {self.kind}, rep {self.kind}, token long, pos long, w long, d long, slack long, "
-                                                              "index boolean, probe boolean"), "minhash-differences")
+        pairs = stage(pairs.unionAll(pairs.select("pivot", F.col("pivot").alias("rep")).distinct()), "minhash-members")
+        ids = pairs.select(F.col("rep").alias("doc_id")).distinct()
+        sets = stage(self.sets.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "minhash-member-sets")
+        each = pairs.join(sets.withColumnRenamed("doc_id", "rep"), "rep").select("pivot", "rep", F.explode("set").alias("token"))
+        often = each.groupBy("pivot", "token").agg(F.count_if(F.col("rep") != F.col("pivot")).cast("int").alias("df"))
+        ranked = stage(each.join(often, ["pivot", "token"]).groupBy("pivot", "rep").agg(F.collect_list(F.struct("df", "token")).alias("s"))
+                       .select("pivot", "rep", F.col("s.token").alias("tokens"), F.col("s.df").alias("df")), "minhash-ranked")
+        # A hub of many members meets them in several tasks.
+        members = pairs.groupBy("pivot").agg((F.count("*") - 1).alias("members")).withColumn("parts", F.ceil(F.col("members") / TOGETHER))
+        base = (ranked.where("rep = pivot").join(members, "pivot")
+                .select("pivot", F.col("tokens").alias("tokens_p"), F.col("df").alias("df_p"), "members",
+                        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
+        own = (ranked.where("rep <> pivot").join(members.select("pivot", "parts"), "pivot")
+               .withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts"))).drop("parts"))
+        return stage(own.join(base, ["pivot", "part"]).mapInArrow(
+            _prefixes(self.percent), f"pivot {self.kind}, rep {self.kind}, token long, pos long, w long, d long, slack long, index boolean, probe boolean"),
+            "minhash-differences")
 
     def late(self, x: DataFrame, y: DataFrame) -> DataFrame:
         """Pairs of ``x`` and ``y`` (rows of ``differences`` with a component) that share a difference early enough for a link."""

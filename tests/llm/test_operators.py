@@ -131,6 +131,36 @@ def test_op3_copies_that_miss_the_threshold_make_no_square_of_pairs(spark, monke
     assert sum(made) < 10 * len(texts), made
 
 
+def test_op3_differences_are_counted_for_each_hub(spark, monkeypatch):
+    """A shingle that few members of a hub lack is rare there, though the members of another hub hold it."""
+    rng = np.random.default_rng(11)
+    whole = [f"w{i}" for i in range(120)]
+
+    def copies(words, n):
+        out = [" ".join(words)]
+        for k in range(n):
+            t = list(words)
+            for at in rng.choice(len(t), max(2, len(t) // 12), replace=False):
+                t[at] = f"n{rng.integers(1 << 40)}"
+            out.append(" ".join(t))
+        return out
+
+    texts = copies(whole, 400) + copies(whole[:70], 150)
+    made, late = [], minhash._Confirm.late
+    monkeypatch.setattr(minhash._Confirm, "late", lambda self, x, y: (made.append(late(self, x, y).count()), late(self, x, y))[1])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, width=5).collect()}
+    sets, label = [minhash.hasher().shingles(t.encode(), 5) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and label[i] != label[j]:
+                a, b = sorted((label[i], label[j]))
+                label = [a if v == b else v for v in label]
+    assert got == dict(enumerate(label))
+    assert sum(made) < 2 * len(texts), made
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_op3_differences_lose_no_link(spark, seed):
     """All links of one bucket between members of different components come from differences they share."""
