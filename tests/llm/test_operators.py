@@ -398,6 +398,19 @@ def test_op7_equals_whole_text_encoding(spark, sf_dir, docs):
     assert run(spark, sf_dir, "op7_token_orc") == want
 
 
+def test_op7_words_with_punctuation_take_no_call_each(monkeypatch):
+    """Words of visible ASCII are encoded by their pre-tokens, many in a call; letters that do not stay letters are not cut from a stop."""
+    from tokenizers import Tokenizer
+
+    texts = ["it's (here); don't've 'STOP' --s a1b2 x;y 'tis ''ve {end}", "caf\u00e9. \u0130. \u0958, A<|endoftext|>b \u0130", None, "", " \n"]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, alone, each = Tokenizer.from_file(path), [], token_orc.WordIds.encode_each
+    monkeypatch.setattr(token_orc.WordIds, "encode_each", lambda self, words: (alone.extend(words), each(self, words))[1])
+    got = token_orc.WordIds(path).encode(texts, 1)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [[*t.encode(x or "", add_special_tokens=False).ids, 1] for x in texts]
+    assert not [w for w in alone if w.isascii() and "<" not in w], alone
+
+
 def test_op7_odd_words_and_lookup(spark, tmp_path):
     from tokenizers import Tokenizer
 
