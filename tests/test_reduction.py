@@ -178,3 +178,60 @@ def test_pivot_columns_add_up_to_the_cells(spark):
     assert got == {"A": (2.0, 0.0, 7.0), "B": (0.0, 5.0, 0.0)}
     with pytest.raises(ValueError):
         matrix.pivot_all(cells, ["x", "other"])
+
+
+def shuffle_bytes(spark):
+    import os
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(os.path.getsize(os.path.join(d, f)) for root in dirs for d, _, fs in os.walk(root) for f in fs if f.startswith("shuffle_"))
+
+
+def test_passes_share_the_matrix_rows_and_leave_no_shuffle_behind(spark, weak, monkeypatch):
+    import gc
+    import os
+    out, cols, sparse = weak
+    sparse.count()
+    monkeypatch.setattr(reduce, "PAIRS", 13)
+    gc.collect()
+    spark._jvm.System.gc()
+    before = shuffle_bytes(spark)
+    found = reduce.entries(sparse, cols)
+    assert shuffle_bytes(spark) <= before
+    folders = {os.path.dirname(f) for f in found.inputFiles()}
+    assert len(folders) > 1
+    rows = [spark.read.parquet(f).where("i >= 0 and segment = 'P'").select("i").distinct().toPandas()["i"].tolist() for f in folders]
+    assert sorted(sum(rows, [])) == list(range(12))  # a matrix row is in one pass
+    root = os.path.dirname(next(iter(folders)).split("file:")[-1])
+    assert not [f for f in os.listdir(root) if f.startswith("rows-")]
+    got = {(r.segment, r.i): (r.j, r.v) for r in found.collect()}
+    assert len(got) == 13 + 5
+    for seg, (x, zero) in out.items():
+        s = x - zero
+        np.testing.assert_allclose(got[seg, -1][1], s.sum(axis=0)[got[seg, -1][0]])
+        for i in range(x.shape[1]):
+            np.testing.assert_allclose(np.bincount(got[seg, i][0], got[seg, i][1], x.shape[1])[i:], (s.T @ s)[i, i:], atol=1e-9)
+
+
+def test_a_segment_is_decomposed_from_the_entries_that_occur(spark):
+    """300 columns of one listener each: 300 entries and 300 sums, not the 45,150 entries of the triangle."""
+    cols = spark.createDataFrame([("U", f"c{j:03d}", j, 301, 0.0) for j in range(301)], "segment string, feature string, idx int, d int, zero double")
+    rows = spark.createDataFrame([("U", f"g{i}") for i in range(300)], "segment string, gigya_id string")
+    sparse = reduce.sparse_rows(rows, spark.createDataFrame([("U", f"g{i}", f"c{i:03d}", 1.0 + i) for i in range(300)], CELL), cols).cache()
+    assert reduce.entries(sparse).select(F.sum(F.size("j"))).first()[0] == 600
+    assert reduce.entries(sparse, cols).where("size(j) = 0").count() == 1  # the column without a cell
+    x = np.diag(np.append(1.0 + np.arange(300), 0.0))[:300]
+    _, _, vt = np.linalg.svd(x, full_matrices=True)
+    got = [r.ratio for r in reduce.fit_bases(sparse, cols, 300).orderBy("component").collect()]
+    np.testing.assert_allclose(got, (x @ vt.T).var(axis=0) / x.var(axis=0).sum(), atol=1e-12)
+
+
+def test_a_decomposition_makes_no_more_squares_than_its_vectors():
+    import tracemalloc
+    x = np.random.default_rng(1).random((500, 400))
+    s, g = x.sum(axis=0), np.triu(x.T @ x)
+    tracemalloc.start()
+    b = reduce.choose_basis("T", [""] * 400, 500, s, reduce._complete(g, np.zeros(400), np.zeros(400), 500))
+    assert tracemalloc.get_traced_memory()[1] < 2.5 * g.nbytes
+    tracemalloc.stop()
+    _, _, vt = np.linalg.svd(x, full_matrices=False)
+    np.testing.assert_allclose(b.ratios, (x @ vt.T).var(axis=0) / x.var(axis=0).sum(), atol=1e-12)
